@@ -11,7 +11,11 @@ CARD_TYPE_STAGED = "CPGF - CARTAO DE PAGAMENTO"
 KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
 # fixed values: document patterns cut out of names, in the order they are applied.
-# SPACE is the blank class of the source contract; (?U) makes \d and \s Unicode-aware.
+# BLANKS and SPACE are the blanks of the source contract; (?U) makes \d and \s Unicode-aware.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
+    "         　"
+)
 SPACE = r"[\s\x1c-\x1f]"
 NAME_PATTERNS = [
     rf"(?U)^\d{{2}}\.\d{{3}}\.\d{{3}}(/\d{{4}}-\d{{2}})?{SPACE}*[-–]?{SPACE}*",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,21 +15,29 @@ from cardwarden.fixed_values import (
 )
 from cardwarden.functions.text import first_present, present, sanitize_name, snake_case
 
-VINCULADO_FIELDS = ["codigoSIAFI", "codigo", "nome", "sigla", "cnpj"]
-SUPERIOR_FIELDS = ["codigo", "nome", "sigla"]
-
-
 def _technical(df: DataFrame) -> list[str]:
     """Columns that travel along without being part of the record, such as ``_load``."""
     return [c for c in df.columns if c.startswith("_")]
 
 
-def _either(nested: str, top: str, fields: list[str]) -> dict[str, Column]:
-    """Fields of the nested object if it has any value, else those of the top-level one."""
-    filled = reduce(lambda a, b: a | b, [F.col(f"{nested}.{f}").isNotNull() for f in fields])
-    return {
-        f: F.when(filled, F.col(f"{nested}.{f}")).otherwise(F.col(f"{top}.{f}")) for f in fields
-    }
+def _either(nested: str, top: str, fields: list[str]) -> Column:
+    """The nested object if it has any value, else the top-level one."""
+    filled = F.coalesce(*[F.col(f"{nested}.{f}") for f in fields]).isNotNull()
+    return F.when(filled, F.col(nested)).otherwise(F.col(top))
+
+
+def resolve_paths(raw: DataFrame) -> DataFrame:
+    """Agency objects picked from their alternate places, and the name others fall back to.
+
+    A projection of its own: what the next one reads several times is computed once.
+    """
+    linked = ["codigoSIAFI", "codigo", "cnpj", "sigla", "nome"]
+    superior = ["codigo", "sigla", "nome"]
+    return raw.withColumns({
+        "orgaoVinculado": _either("unidadeGestora.orgaoVinculado", "orgaoVinculado", linked),
+        "orgaoSuperior": _either("unidadeGestora.orgaoMaximo", "orgaoSuperior", superior),
+        "_nome": sanitize_name(F.col("estabelecimento.nome")),
+    })
 
 
 def normalize_records(raw: DataFrame) -> DataFrame:
@@ -39,7 +45,7 @@ def normalize_records(raw: DataFrame) -> DataFrame:
     card_id = F.coalesce(
         F.nullif(F.col("tipoCartao.id"), F.lit(0)), F.lit(CARD_TYPE_ID_DEFAULT)
     ).cast("bigint")
-    name = sanitize_name(F.col("estabelecimento.nome"))
+    name = F.col("_nome")
     legal_name = F.col("estabelecimento.razaoSocialReceita")
     trade_name = F.col("estabelecimento.nomeFantasiaReceita")
     cnpj = F.col("estabelecimento.cnpjFormatado")
@@ -47,10 +53,7 @@ def normalize_records(raw: DataFrame) -> DataFrame:
     bearer_cpf = first_present(
         F.col("portador.cpfFormatado"), F.col("portador.cpf"), default=NOT_INFORMED
     )
-    linked = _either("unidadeGestora.orgaoVinculado", "orgaoVinculado", VINCULADO_FIELDS)
-    superior = _either("unidadeGestora.orgaoMaximo", "orgaoSuperior", SUPERIOR_FIELDS)
-
-    return raw.select(
+    return resolve_paths(raw).select(
         "id",
         "mesExtrato",
         "dataTransacao",
@@ -94,16 +97,18 @@ def normalize_records(raw: DataFrame) -> DataFrame:
         ).alias("unidadeGestora"),
         F.struct(
             first_present(
-                linked["codigoSIAFI"], linked["codigo"], default=CODE_UNKNOWN
+                F.col("orgaoVinculado.codigoSIAFI"),
+                F.col("orgaoVinculado.codigo"),
+                default=CODE_UNKNOWN,
             ).alias("codigo"),
-            first_present(linked["nome"], default=NOT_INFORMED).alias("nome"),
-            first_present(linked["sigla"], default="").alias("sigla"),
-            first_present(linked["cnpj"], default="").alias("cnpj"),
+            first_present(F.col("orgaoVinculado.nome"), default=NOT_INFORMED).alias("nome"),
+            first_present(F.col("orgaoVinculado.sigla"), default="").alias("sigla"),
+            first_present(F.col("orgaoVinculado.cnpj"), default="").alias("cnpj"),
         ).alias("orgaoVinculado"),
         F.struct(
-            first_present(superior["codigo"], default=CODE_UNKNOWN).alias("codigo"),
-            first_present(superior["nome"], default=NOT_INFORMED).alias("nome"),
-            first_present(superior["sigla"], default="").alias("sigla"),
+            first_present(F.col("orgaoSuperior.codigo"), default=CODE_UNKNOWN).alias("codigo"),
+            first_present(F.col("orgaoSuperior.nome"), default=NOT_INFORMED).alias("nome"),
+            first_present(F.col("orgaoSuperior.sigla"), default="").alias("sigla"),
         ).alias("orgaoSuperior"),
         *_technical(raw),
     )

@@ -1,4 +1,4 @@
-"""Intermediate results as written tables in the folder the cluster shares."""
+"""Intermediate results as written tables in the folder the cluster shares, and their tasks."""
 
 from __future__ import annotations
 
@@ -34,3 +34,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where few files give fewer tasks than cores; otherwise unchanged.
+
+    For work that is heavy per row, such as parsing. Large inputs have enough splits and are
+    not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

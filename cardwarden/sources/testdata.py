@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwarden.sources.scratch import spread
+
 CALENDAR_START, CALENDAR_END = "1995-01-01", "2001-12-31"
 CUTOFF = "1997-01"
 LOADS = (1, 2, 3)
@@ -18,8 +20,18 @@ RAW_NAMES = [
 ]
 
 
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The columns of a test table that the feed uses."""
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders_with_parties(spark: SparkSession, sf_dir: str, loads: tuple = LOADS) -> DataFrame:
@@ -28,12 +40,6 @@ def orders_with_parties(spark: SparkSession, sf_dir: str, loads: tuple = LOADS)
     No side is hinted: the files tell Spark which tables are small enough to broadcast.
     """
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    customers = table(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
-    )
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"),
         "o_custkey",
@@ -48,8 +54,12 @@ def orders_with_parties(spark: SparkSession, sf_dir: str, loads: tuple = LOADS)
         .otherwise(F.array(F.lit(1)))
     )
     wanted = F.array(*[F.lit(n) for n in loads])
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-        suppliers, F.col("o_suppkey") == F.col("s_suppkey")
+    joined = (
+        spread(orders)
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(suppliers, F.col("o_suppkey") == F.col("s_suppkey"))
     )
     copies = joined.withColumn("load", F.explode(F.array_intersect(load, wanted)))
     return copies.withColumns({
@@ -127,8 +137,8 @@ def raw_records(spark: SparkSession, sf_dir: str, loads: tuple = LOADS) -> DataF
                  'codigo', cast(20000 + r_regionkey * 1000 + n_nationkey % 2 as string),
                  'sigla', left(r_name, 3), 'nome', r_name), null))) as unidadeGestora""",
         """if(k % 62 = 0 or (k % 3 = 0 and k % 31 <> 0), null, named_struct(
-             'codigo', cast(26000 + n_nationkey as string),
-             'codigoSIAFI', if(k % 3 = 1, '', null), 'cnpj', cast(null as string),
+             'codigoSIAFI', if(k % 3 = 1, '', null),
+             'codigo', cast(26000 + n_nationkey as string), 'cnpj', cast(null as string),
              'sigla', cast(null as string), 'nome', n_name)) as orgaoVinculado""",
         """if(k % 62 = 0 or (k % 2 = 0 and k % 31 <> 0), null, named_struct(
              'codigo', cast(20000 + r_regionkey * 1000 + n_nationkey % 2 as string),
