@@ -17,29 +17,34 @@ def normalize_period(
     A text with one slash whose month is not a whole number raises.
     """
     text = strip(F.coalesce(period.cast("string"), F.lit("")))
-    parts = F.split(text, "/")
-    month = strip(F.element_at(parts, 1))
-    sign = F.regexp_extract(month, r"^(-?)", 1)
-    digits = F.regexp_replace(F.regexp_replace(month, r"^[+-]", ""), "_", "")
-    digits = F.regexp_replace(digits, r"^0+(?=\d)", "")
-    width = F.when(sign == "-", 1).otherwise(2)
-    padded = F.when(F.length(digits) < width, F.concat(F.lit("0"), digits)).otherwise(digits)
-    sliced = F.when(
-        month.rlike(r"^[+-]?\d+(_\d+)*$"), F.concat(sign, padded, F.lit("/"), F.element_at(parts, 2))
-    ).otherwise(F.raise_error(F.concat(F.lit("month is not a number: "), text)).cast("string"))
-    mm = f"{default_month:02d}"
+    shaped = text
+    for pattern, form in [
+        (r"^(\d{4})(\d{2})$", "$2/$1"),
+        (r"^(\d{4})$", f"{default_month:02d}/$1"),
+        (r"^0*(\d)\s*/", "0$1/"),
+        (r"^0*([1-9]\d+)\s*/", "$1/"),
+    ]:
+        shaped = F.regexp_replace(shaped, pattern, form)
+    not_a_month = F.raise_error(F.concat(F.lit("month is not a number: "), text)).cast("string")
     return (
-        F.when(F.size(parts) == 2, sliced)
-        .when(text.rlike(r"^\d{6}$"),
-              F.concat(F.substring(text, 5, 2), F.lit("/"), F.substring(text, 1, 4)))
-        .when(text.rlike(r"^\d{4}$"), F.concat(F.lit(f"{mm}/"), text))
-        .otherwise(F.lit(f"{mm}/{default_year}"))
+        F.when(shaped.rlike(r"^\d{2,}/[^/]*$"), shaped)
+        .when(text.rlike(r"^[^/]*/[^/]*$"), not_a_month)
+        .otherwise(F.lit(f"{default_month:02d}/{default_year}"))
     )
 
 
-def month_start(period: Column) -> Column:
-    """First day of an ``MM/YYYY`` period; raises on a month outside 1..12."""
-    return F.to_date(F.concat(F.lit("01/"), period), "dd/MM/yyyy")
+def month_number(period: Column) -> Column:
+    """Months since year 0 of an ``MM/YYYY`` period; raises on a month outside 1..12."""
+    month = F.substring_index(period, "/", 1).cast("int")
+    year = F.substring_index(period, "/", -1).cast("int")
+    wrong = F.raise_error(F.concat(F.lit("no such month: "), period)).cast("int")
+    return F.when(month.between(1, 12), year * 12 + month - 1).otherwise(wrong)
+
+
+def month_text(number: Column) -> Column:
+    """Month number as ``YYYY-MM``."""
+    year = F.floor(number / 12).cast("string")
+    return F.concat(year, F.lit("-"), F.lpad((number % 12 + 1).cast("string"), 2, "0"))
 
 
 def rolling_window(as_of: Column, months_back: int = MONTHS_BACK) -> tuple[Column, Column]:

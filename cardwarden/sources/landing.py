@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.fixed_values import PAGES_PER_MONTH
-from cardwarden.functions.periods import month_start, normalize_period
+from cardwarden.functions.periods import month_number, month_text, normalize_period
 from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
 
 
@@ -15,16 +15,15 @@ def month_plan(periods: DataFrame, first: str = "inicio", last: str = "fim") ->
 
     A pair whose first month lies after its last gives no rows.
     """
-    span = periods.select(
-        "*",
-        month_start(normalize_period(F.col(first), 1)).alias("_first"),
-        month_start(normalize_period(F.col(last), 7)).alias("_last"),
-    ).where(F.col("_first") <= F.col("_last"))
-    months = F.sequence("_first", "_last", F.expr("interval 1 month"))
-    exploded = span.withColumn("_month", F.explode(months))
-    return exploded.withColumn("mes", F.date_format("_month", "yyyy-MM")).drop(
-        "_first", "_last", "_month"
-    )
+    normal = periods.withColumns({
+        "_first": normalize_period(F.col(first), 1), "_last": normalize_period(F.col(last), 7)
+    })
+    ends = normal.withColumns({
+        "_first": month_number(F.col("_first")), "_last": month_number(F.col("_last"))
+    })
+    span = F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last"))
+    months = ends.withColumn("_month", F.explode(span))
+    return months.withColumn("mes", month_text(F.col("_month"))).drop("_first", "_last", "_month")
 
 
 def planned_months(spark: SparkSession, first: str, last: str) -> list[str]:

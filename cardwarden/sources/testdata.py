@@ -63,13 +63,15 @@ def orders_with_parties(spark: SparkSession, sf_dir: str, loads: tuple = LOADS)
     )
     copies = joined.withColumn("load", F.explode(F.array_intersect(load, wanted)))
     return copies.withColumns({
-        "d": F.expr("if(load = 2 and k % 20 = 0, add_months(o_date, 1), o_date)"),
+        "iso": F.expr("cast(if(load = 2 and k % 20 = 0, add_months(o_date, 1), o_date) as string)"),
         "cents": F.expr("""
             (if(r_regionkey <= 2, o_cents div 100, o_cents div 10)
              * if(k % 97 = 0, 1 + k % 5, 1)) + (load - 1) * 1000"""),
         "doc": F.expr("lpad(cast(s_suppkey % 100000000 as string), 8, '0')"),
         "bearer": F.expr("lpad(cast(c_custkey % 1000000 as string), 6, '0')"),
     }).withColumns({
+        "y": F.expr("left(iso, 4)"),
+        "m": F.expr("substr(iso, 6, 2)"),
         "root": F.expr("concat(left(doc, 2), '.', substr(doc, 3, 3), '.', right(doc, 3))"),
         "cpf": F.expr("concat('***.', left(bearer, 3), '.', right(bearer, 3), '-**')"),
     })
@@ -80,9 +82,9 @@ def raw_records(spark: SparkSession, sf_dir: str, loads: tuple = LOADS) -> DataF
     feed = orders_with_parties(spark, sf_dir, loads)
     return feed.selectExpr(
         "k as id",
-        "if(k % 2 = 0, date_format(d, 'MM/yyyy'), date_format(d, 'yyyyMM')) as mesExtrato",
-        """case k % 4 when 0 then date_format(d, 'dd/MM/yyyy')
-                      when 1 then date_format(d, 'yyyy-MM-dd')
+        "if(k % 2 = 0, concat(m, '/', y), concat(y, m)) as mesExtrato",
+        """case k % 4 when 0 then concat(right(iso, 2), '/', m, '/', y)
+                      when 1 then iso
                       when 3 then 'sem data' end as dataTransacao""",
         """if(k % 503 = 3, 'sem valor',
               concat(replace(format_number(cents div 100, 0), ',', '.'), ',',

@@ -2,25 +2,15 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
+
+from cardwarden.plans.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    base = tmp_path_factory.mktemp("spark")
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.warehouse.dir", str(base / "warehouse"))
-        .config("spark.checkpoint.dir", str(base / "checkpoint"))
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
+    session = local_session(8, str(tmp_path_factory.mktemp("spark")))
     yield session
     session.stop()
