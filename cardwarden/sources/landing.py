@@ -56,24 +56,20 @@ def read_pages(
 def until_first_gap(records: DataFrame) -> DataFrame:
     """Drop, per month, everything after the first page that holds no record.
 
-    The page list is reduced before any shuffle, and the last good page of a month is the
-    smallest page without a successor. Its months are those of the plan, a handful of rows,
-    which is why that side may be broadcast.
+    The page list is reduced before any shuffle. Counting a page 0 for every month, the last
+    good page is the smallest one without a successor. The months are those of the plan, a
+    handful of rows, which is why that side may be broadcast.
     """
     pages = records.select("mes", "pagina").distinct()
-    follows = pages.select("mes", (F.col("pagina") - 1).alias("pagina"))
+    counted = pages.unionByName(pages.select("mes", F.lit(0).alias("pagina")))
+    preceding = pages.select("mes", (F.col("pagina") - 1).alias("pagina"))
     last_good = (
-        pages.join(follows, ["mes", "pagina"], "left_anti")
+        counted.join(preceding, ["mes", "pagina"], "left_anti")
         .groupBy("mes")
         .agg(F.min("pagina").alias("_last_good"))
     )
-    starts = (
-        pages.where(F.col("pagina") == 1)
-        .select("mes")
-        .join(last_good, "mes")
-    )
     return (
-        records.join(F.broadcast(starts), "mes")
+        records.join(F.broadcast(last_good), "mes")
         .where(F.col("pagina") <= F.col("_last_good"))
         .select(*records.columns)
     )
