@@ -27,16 +27,20 @@ def _either(nested: str, top: str, fields: list[str]) -> Column:
 
 
 def resolve_paths(raw: DataFrame) -> DataFrame:
-    """Agency objects picked from their alternate places, and the name others fall back to.
+    """Agency objects picked from their alternate places, and the cleaned names.
 
-    A projection of its own: what the next one reads several times is computed once.
+    A projection of its own: what the next one reads several times is computed once. The three
+    names go through one array function, so the patterns are in the plan once, not three times;
+    inlined they make a method too long for the JVM to compile.
     """
+    names = F.array("estabelecimento.nome", "estabelecimento.razaoSocialReceita",
+                    "estabelecimento.nomeFantasiaReceita")
     linked = ["codigoSIAFI", "codigo", "cnpj", "sigla", "nome"]
     superior = ["codigo", "sigla", "nome"]
     return raw.withColumns({
         "orgaoVinculado": _either("unidadeGestora.orgaoVinculado", "orgaoVinculado", linked),
         "orgaoSuperior": _either("unidadeGestora.orgaoMaximo", "orgaoSuperior", superior),
-        "_nome": sanitize_name(F.col("estabelecimento.nome")),
+        "_nomes": F.transform(names, sanitize_name),
     })
 
 
@@ -45,9 +49,8 @@ def normalize_records(raw: DataFrame) -> DataFrame:
     card_id = F.coalesce(
         F.nullif(F.col("tipoCartao.id"), F.lit(0)), F.lit(CARD_TYPE_ID_DEFAULT)
     ).cast("bigint")
-    name = F.col("_nome")
-    legal_name = F.col("estabelecimento.razaoSocialReceita")
-    trade_name = F.col("estabelecimento.nomeFantasiaReceita")
+    name, legal_name, trade_name = [F.element_at("_nomes", i) for i in (1, 2, 3)]
+    has_legal_name = present(F.col("estabelecimento.razaoSocialReceita")).isNotNull()
     cnpj = F.col("estabelecimento.cnpjFormatado")
     cpf = F.col("estabelecimento.cpfFormatado")
     bearer_cpf = first_present(
@@ -68,10 +71,8 @@ def normalize_records(raw: DataFrame) -> DataFrame:
         F.struct(
             F.col("estabelecimento.id").alias("id"),
             name.alias("nome"),
-            F.when(present(legal_name).isNull(), name)
-            .otherwise(sanitize_name(legal_name))
-            .alias("razaoSocialReceita"),
-            sanitize_name(trade_name).alias("nomeFantasiaReceita"),
+            F.when(has_legal_name, legal_name).otherwise(name).alias("razaoSocialReceita"),
+            trade_name.alias("nomeFantasiaReceita"),
             first_present(cnpj, default="").alias("cnpjFormatado"),
             first_present(cpf, default="").alias("cpfFormatado"),
             first_present(
