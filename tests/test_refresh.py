@@ -61,6 +61,15 @@ def test_sample_refresh_gives_the_golden_rows(spark, clean):
     assert spark.table("gold.dim_favorecidos").columns == ["sk_favorecido", "nome_favorecido"]
     assert spark.table("gold.dim_portadores").columns == ["sk_portador", "nome_portador"]
     scores = spark.table("gold.score_anomalia_cartao")
+    gold = [spark.table(f"gold.{t}") for t in (
+        "fct_gastos_cartao", "dim_data", "dim_orgaos", "dim_favorecidos", "dim_portadores",
+        "dim_nivel_alerta",
+    )]
+    star = facts.star_view(*gold, scores).where("nivel_alerta = 'CRITICO'").collect()
+    assert [(r.id_transacao, r.nome_mes, r.nome_portador) for r in star] == [
+        (100010, "Fevereiro", "PORTADOR 20000"),
+    ]
+    assert 0.0 <= star[0].anomaly_score <= 1.0
     assert scores.select("dt_processamento").distinct().count() == 1
 
     # the same refresh again changes nothing

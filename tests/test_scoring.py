@@ -162,6 +162,26 @@ def test_hot_key_counts_equal_brute_force(spark, hot_keys):
     assert all(r.n == counts.get(r.k) for r in got)
 
 
+def test_hot_rows_are_spread_by_the_shuffle(spark):
+    keys = ["quente"] * 6000 + [f"k{i}" for i in range(6000)]
+    rows = spark.createDataFrame(list(enumerate(keys)), "id LONG, k STRING")
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        joined = attach_group_count(rows, rows, "k", "id", "n", 10)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 12000 / 4
+
+
 def test_summary(spark):
     flagged = tail(spark, [(i, i / 200, 0, None, 9, 1.0) for i in range(201)])
     row = scoring.run_summary(flagged).first()
