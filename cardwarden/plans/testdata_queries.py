@@ -54,8 +54,8 @@ def feed_calendar(spark: SparkSession) -> DataFrame:
     return cal.calendar(spark, CALENDAR_START, CALENDAR_END)
 
 
-def gold_fact(staging: DataFrame) -> DataFrame:
-    orgaos = materialize(dimensions.dim_orgaos(staging), "orgaos")
+def gold_fact(staging: DataFrame, orgaos: DataFrame | None = None) -> DataFrame:
+    orgaos = orgaos or materialize(dimensions.dim_orgaos(staging), "orgaos")
     named = facts.with_agency_name(facts.fact_silver(staging), orgaos)
     return facts.fact_gold(named, materialize(facts.agency_stats(named), "agency_stats"))
 
@@ -351,7 +351,7 @@ def q_star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     favorecidos = materialize(dimensions.dim_favorecidos(staging), "favorecidos")
     portadores = materialize(dimensions.dim_portadores(staging), "portadores")
     return facts.star_view(
-        gold_fact(staging),
+        gold_fact(staging, orgaos),
         feed_calendar(spark),
         orgaos,
         dimensions.without_documents(favorecidos, "sk_favorecido", "nome_favorecido"),

@@ -71,6 +71,12 @@ def test_empty_features_give_no_scores(spark):
     assert score_features(feature_frame(spark.createDataFrame([], GOLD)), SETTINGS) is None
 
 
+def test_one_row_is_scored(spark):
+    features = feature_frame(spark.createDataFrame(gold_rows(2)[:1], GOLD))
+    row = score_features(features, SETTINGS).first()
+    assert (row.anomaly_score, row.is_anomaly_p95, row.is_anomaly_p99) == (0.0, 1, 1)
+
+
 def random_matrix(spark, n, partitions):
     rng = np.random.default_rng(7)
     frame = pd.DataFrame(rng.normal(size=(n, 7)), columns=iforest.MODEL_COLUMNS)
