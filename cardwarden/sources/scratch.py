@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,18 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of this session; a local one only where none is named."""
+    """The shared folder of this session.
+
+    Without one, a session whose executors are threads of this process gets a temporary folder
+    for its lifetime; on a cluster that would be another disk on each machine, so it is an error.
+    """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="cardwarden-")
-        spark.sparkContext.setCheckpointDir(root)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(
+                f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share"
+            )
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cardwarden-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
