@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cardwarden.llm.selection import literal, prefix_end
 from cardwarden.sources.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,10 +17,6 @@ BUDGET_SHARE = 1.5
 REPEATS = 2
 #: About so many documents are put in order by one task.
 RUN_ROWS = 20_000
-#: Slices of virtual time counted in one pass over the copies.
-SLICES = 4096
-#: The end of the budget is looked for row by row among so many copies or fewer.
-LAST_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -103,43 +100,6 @@ def finish_key(copy: Column) -> Column:
     )
 
 
-def budget_end(queued: DataFrame, budget: int, repeats: int):
-    """The last copy, as its finish key, that the budget holds; None if it holds none.
-
-    Slices of virtual time are summed, the slice that the budget ends in is sliced again until
-    few copies are left in it, and only those are put in order.
-    """
-    copies = queued.where("size > 0 and target > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    copies = copies.select("size", finish_key(F.col("_copy")).alias("_key"))
-    at = F.col("_key.finish")
-    low, high, room, best = 0.0, float(2 * repeats), budget, None
-    while True:
-        inside = copies.where((at > low) & (at <= high)) if low else copies.where(at <= high)
-        width = (high - low) / SLICES
-        number = F.least(F.greatest(F.ceil((at - low) / width), F.lit(1)), F.lit(SLICES))
-        parts = sorted(  # at most SLICES rows
-            inside.groupBy(number.alias("n")).agg(
-                F.sum("size").alias("s"), F.count("*").alias("c"), F.max("_key").alias("k"),
-                F.min(at).alias("first"),
-            ).collect(), key=lambda r: r.n,
-        )
-        for part in parts:
-            if part.s > room:
-                break
-            room, best = room - part.s, part.k
-        else:
-            return best
-        if part.c <= LAST_ROWS or part.first == part.k.finish or width < 1e-15 * high:
-            break
-        low, high = low + (part.n - 1) * width, low + part.n * width
-    # the bounds are values of the data, so that no copy is lost to rounding of the slices
-    last = inside.where((at >= F.lit(part.first)) & (at <= F.lit(part.k.finish)))
-    order = W.orderBy("_key").rowsBetween(W.unboundedPreceding, 0)  # LAST_ROWS copies at most
-    fitting = last.withColumn("_sum", F.sum("size").over(order)).where(F.col("_sum") <= room)
-    found = fitting.agg(F.max("_key").alias("k")).first().k
-    return found or best
-
-
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[float] = WEIGHTS, budget_share: float = BUDGET_SHARE, repeats: int = REPEATS,
@@ -160,11 +120,13 @@ def mix(
     """
     queued, sources = queue(docs, id_col, text_col, source_col, weights, budget_share, repeats, seed)
     total = sources.agg(F.sum("source_size")).first()[0] or 0
-    end = budget_end(queued, int(min(budget_share, repeats) * total), repeats) if total else None
+    items = queued.where("size > 0 and target > 0").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+    ).select("size", finish_key(F.col("_copy")).alias("key"))
+    end = prefix_end(items, int(min(budget_share, repeats) * total)) if total else None
     copies = F.lit(0)
     if end is not None:
-        kind = queued.select(finish_key(F.lit(0)).alias("k")).schema["k"].dataType
-        last = F.struct(*[F.lit(end[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields])
+        last = literal(end, items.schema["key"].dataType)
         for copy in range(repeats):
             taken = (F.col("size") > 0) & (F.col("target") > 0) & (finish_key(F.lit(copy)) <= last)
             copies = copies + F.when(taken, 1).otherwise(0)
