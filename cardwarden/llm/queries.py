@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import table
+from cardwarden.llm.decontaminate import benchmark_matches
 from cardwarden.llm.licenses import BASE, license_scan
 from cardwarden.llm.mixing import mix
+from cardwarden.llm.quality import quality_keys
 from cardwarden.llm.records import binary_output
 from cardwarden.llm.simhash import near_duplicates
 from cardwarden.llm.tokens import token_counts
@@ -19,6 +21,14 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_keys(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -53,6 +63,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_license_scan": op7_license_scan,
