@@ -9,6 +9,7 @@ from cardwarden.llm.common import table
 from cardwarden.llm.decontaminate import benchmark_matches
 from cardwarden.llm.licenses import BASE, license_scan
 from cardwarden.llm.mixing import mix
+from cardwarden.llm.neighbours import nearest
 from cardwarden.llm.quality import quality_keys
 from cardwarden.llm.records import binary_output
 from cardwarden.llm.simhash import near_duplicates
@@ -21,6 +22,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,6 +68,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_neighbours": op2_neighbours,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
