@@ -13,6 +13,7 @@ from cardwarden.llm.neighbours import nearest
 from cardwarden.llm.quality import quality_keys
 from cardwarden.llm.records import binary_output
 from cardwarden.llm.simhash import near_duplicates
+from cardwarden.llm.suffixes import repeated_bytes
 from cardwarden.llm.tokens import token_counts
 
 
@@ -22,6 +23,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -68,6 +73,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_repeated_bytes": op1_repeated_bytes,
     "op2_neighbours": op2_neighbours,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
