@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A cache of a worker process is emptied once it holds so many words; only speed depends on it.
+#: Words of a generation of a worker's cache, which keeps two; only speed depends on it.
 CACHE_WORDS = 400_000
 #: Longer words are worked out each time and never cached.
 CACHE_WORD_BYTES = 64
@@ -26,31 +26,38 @@ def byte_words(text: str | None, lower: bool = True) -> list[bytes]:
     return (data.lower() if lower else data).split()
 
 
-def pandas_frames(columns: list[str]) -> callable:
-    """Function that makes frames of lists; an empty list gives a frame without rows."""
-    return lambda *values: pd.DataFrame(dict(zip(columns, values, strict=True)))
-
-
 def texts_of(frame: pd.DataFrame, column: str) -> list[str]:
     """Texts of a batch; NULL is empty."""
     return [t if isinstance(t, str) else "" for t in frame[column]]
 
 
 class WordCache(dict):
-    """Values of words, each worked out at its first use; bounded, and kept by the process."""
+    """Values of words, each worked out at its first use; bounded, and kept by the process.
+
+    Once it is full, it becomes the old generation, from which words in use are taken over.
+    """
 
     def __init__(self, value: callable):
         super().__init__()
-        self.value = value
+        self.value, self.old = value, {}
 
     def __missing__(self, word):
-        found = self.value(word)
+        found = self.old.get(word)
+        if found is None:
+            found = self.value(word)
         if len(word) <= CACHE_WORD_BYTES:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = found
+            self.put(word, found)
         return found
 
+    def put(self, word, found) -> None:
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+
+    def known(self, word) -> bool:
+        return word in self or word in self.old
+
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of unsigned 64-bit numbers that spreads every bit over all (SplitMix64)."""
@@ -74,14 +81,6 @@ def cut_by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
         yield int(number), slice(int(ends[number]), int(ends[number + 1]))
 
 
-def packed(values: Iterable, dtype) -> bytes:
-    return np.asarray(values, dtype).tobytes()
-
-
-def native_type(df: DataFrame, column: str) -> str:
-    return dict(df.dtypes)[column]
-
-
 def file_system(uri: str):
     """(file system, path) of a shared folder, for files that are not Spark tables."""
     from pyarrow import fs
@@ -93,5 +92,11 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def present(column: str):
-    return F.coalesce(F.col(column), F.lit(""))
+def whole_row(docs: DataFrame):
+    """All columns as one struct ``row``, which no other column's name can clash with."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def unpacked_rows(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, from ``row``."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

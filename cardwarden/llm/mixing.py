@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cardwarden.llm.common import unpacked_rows, whole_row
 from cardwarden.llm.selection import literal, prefix_end
 from cardwarden.sources.scratch import materialize
 
@@ -144,18 +145,17 @@ def mixed_documents(
 
     Of rows equal in id, source and text, the first ones carry what the mix takes of them all.
     """
-    keys = [F.col(id_col), F.col(source_col), F.xxhash64(F.col(text_col))]
-    names = ["_k_id", "_k_source", "_k_text"]
-    chosen = mix(docs, id_col, text_col, source_col, **options)
-    chosen = chosen.groupBy(
-        F.col(id_col).alias("_c_id"), F.col("source").alias("_c_source"), F.col("text_hash").alias("_c_text")
-    ).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    keyed = docs.select("*", *[k.alias(n) for k, n in zip(keys, names, strict=True)])
-    same = [F.col(n).eqNullSafe(F.col(n.replace("_k_", "_c_"))) for n in names]
-    joined = keyed.join(chosen.where("_copies > 0"), same)
-    alone = F.row_number().over(W.partitionBy(*names).orderBy(F.lit(1)))
-    share = F.floor(F.col("_copies") / F.col("_rows")) + F.when(
-        F.col("_nth") <= F.col("_copies") % F.col("_rows"), 1
-    ).otherwise(0)
-    spread = joined.withColumn("_nth", alone).withColumn("_times", share.cast("int")).where("_times > 0")
-    return spread.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    keys = ["id", "source", "text_hash"]
+    chosen = mix(docs, id_col, text_col, source_col, **options).withColumnRenamed(id_col, "id")
+    chosen = chosen.groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    keyed = docs.select(
+        whole_row(docs), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        F.xxhash64(F.col(text_col)).alias("text_hash"),
+    ).alias("d")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    joined = keyed.join(chosen.where("copies > 0").alias("c"), same).select("d.*", "copies", "n")
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(1)))
+    more = F.when(F.col("nth") <= F.col("copies") % F.col("n"), 1).otherwise(0)
+    times = (F.floor(F.col("copies") / F.col("n")) + more).cast("int")
+    spread = joined.withColumn("nth", nth).withColumn("times", times).where("times > 0")
+    return unpacked_rows(spread.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))), docs)

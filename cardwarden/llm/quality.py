@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import WordCache, byte_words, texts_of
+from cardwarden.llm.common import WordCache, byte_words, texts_of, unpacked_rows, whole_row
 from cardwarden.llm.selection import literal, prefix_end
 from cardwarden.sources.scratch import materialize
 
@@ -162,9 +162,9 @@ def best_threshold(weights: np.ndarray, good: np.ndarray) -> float:
 
 def resampled(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    spec: QualitySpec = QualitySpec(), keep: tuple[str, ...] | None = None,
+    spec: QualitySpec = QualitySpec(), whole: bool = False,
 ) -> DataFrame:
-    """Columns of ``docs`` (or those of ``keep``) with ``_log_weight``, ``_key`` and ``_kept``.
+    """(id, weight, key, kept) for each row of ``docs``, and if ``whole`` its columns in ``row``.
 
     Generative models over hashed n-grams (a word and its byte n-grams) of the labelled good
     documents and of all raw ones give each document its log importance weight, target over raw.
@@ -175,44 +175,42 @@ def resampled(
     proportion to the weights.
 
     NULL and empty texts weigh 1 (log 0). Without labels, or without any that are not good, all
-    rows are kept; without good ones none is. Repeated rows weigh the same; ties at the end of the sample go to
-    smaller ids, NULL first, and rows equal in weight and id are kept or rejected together. An
-    empty table gives no rows.
+    rows are kept; without good ones none is. Repeated rows weigh the same; ties at the end of
+    the sample go to smaller ids, NULL first, and rows equal in weight and id are kept or
+    rejected together. An empty table gives no rows.
     """
     spark = docs.sparkSession
     sample = materialize(labelled_sample(labels, spec), "labelled")
     raw, target = ngram_models(docs, sample, spec, id_col, text_col)
     weight = weigher(spark, log_ratios(raw, target, spec.prior), spec)
-    columns = [F.col(c) for c in (keep or docs.columns)]
-    weighed = docs.select(*columns, F.col(id_col).alias("_id"), weight(F.col(text_col)).alias("_log_weight"))
-    weighed = materialize(weighed, "weighed")
+    own = [F.col(id_col).alias("id"), weight(F.col(text_col)).alias("weight")]
+    weighed = materialize(docs.select(*own, *([whole_row(docs)] if whole else [])), "weighed")
     held = F.broadcast(sample.where("not _fit"))
-    checked = weighed.join(held, F.col("_id") == F.col("_label_id")).groupBy("_id").agg(
-        F.min("_log_weight").alias("w"), F.min("_good").alias("g")
+    checked = weighed.join(held, F.col("id") == F.col("_label_id")).groupBy("id").agg(
+        F.min("weight").alias("w"), F.min("_good").alias("g")
     ).toPandas()  # at most spec.labelled rows
     cut = best_threshold(checked["w"].to_numpy(float), checked["g"].to_numpy() == 1)
     if np.isinf(cut):
-        return weighed.withColumns({"_key": F.col("_log_weight"), "_kept": F.lit(bool(cut < 0))}).drop("_id")
-    uniform = (F.xxhash64(F.col("_id"), F.lit(spec.seed + 1)).cast("double") + F.lit(2.0**63 + 1)) / F.lit(2.0**64 + 4096)
+        return weighed.withColumns({"key": F.col("weight"), "kept": F.lit(bool(cut < 0))})
+    uniform = (F.xxhash64("id", F.lit(spec.seed + 1)).cast("double") + F.lit(2.0**63 + 1)) / F.lit(2.0**64 + 4096)
     gumbel = -F.log(-F.log(uniform))
-    keyed = weighed.withColumn("_key", (F.col("_log_weight") - F.lit(cut)) / F.lit(spec.temperature) + gumbel)
-    order = F.struct((-F.col("_key")).alias("at"), F.col("_id").alias("id"))
-    wanted = weighed.where(F.col("_log_weight") >= F.lit(cut)).count()
+    keyed = weighed.withColumn("key", (F.col("weight") - F.lit(cut)) / F.lit(spec.temperature) + gumbel)
+    order = F.struct((-F.col("key")).alias("at"), F.col("id").alias("id"))
+    wanted = weighed.where(F.col("weight") >= F.lit(cut)).count()
     items = keyed.select(order.alias("key"), F.lit(1).alias("size"))
     end = prefix_end(items, wanted) if wanted else None
     kept = F.lit(False) if end is None else order <= literal(end, items.schema["key"].dataType)
-    return keyed.withColumn("_kept", kept).drop("_id")
+    return keyed.withColumn("kept", kept)
 
 
 def quality_keys(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """(id, ``log_weight``, ``sample_key``, ``kept``), one row for each row of ``docs``."""
-    found = resampled(docs, labels, id_col, keep=(id_col,), **options)
+    found = resampled(docs, labels, id_col, **options)
     return found.select(
-        id_col, F.col("_log_weight").alias("log_weight"), F.col("_key").alias("sample_key"), F.col("_kept").alias("kept")
+        F.col("id").alias(id_col), F.col("weight").alias("log_weight"), F.col("key").alias("sample_key"), "kept"
     )
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents of the sample, with their own columns."""
-    return resampled(docs, labels, **options).where("_kept").select(*docs.columns)
-
+    return unpacked_rows(resampled(docs, labels, whole=True, **options).where("kept"), docs)

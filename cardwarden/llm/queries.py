@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardwarden.llm.common import table
 from cardwarden.llm.decontaminate import benchmark_matches
 from cardwarden.llm.licenses import BASE, license_scan
+from cardwarden.llm.lm import language_scores
 from cardwarden.llm.mixing import mix
 from cardwarden.llm.neighbours import nearest
 from cardwarden.llm.quality import quality_keys
@@ -72,6 +73,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op10_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return language_scores(table(spark, sf_dir, "documents"), held_out)
+
+
 QUERIES = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_neighbours": op2_neighbours,
@@ -82,6 +88,7 @@ QUERIES = {
     "op7_license_scan": op7_license_scan,
     "op8_binary_output": op8_binary_output,
     "op9_simhash": op9_simhash,
+    "op10_language_scores": op10_language_scores,
 }
 
 # fixed values: weights in turn, share of the budget, repeats and seed are those of mixing.py

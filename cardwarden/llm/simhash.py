@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import byte_words, texts_of
+from cardwarden.llm.common import byte_words, texts_of, unpacked_rows, whole_row
 from cardwarden.llm.components import components
 from cardwarden.sources.scratch import materialize
 
@@ -43,16 +43,16 @@ def simhash(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp): the signed 64-bit fingerprint of each row's whole text; NULL is empty."""
+    """(id, fp, text_hash): the signed 64-bit fingerprint of each whole text; NULL is empty."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def prints(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [simhash(shingle_hashes(byte_words(t), shingle)) for t in texts_of(frame, "text")]
-            yield pd.DataFrame({"id": frame["id"], "fp": np.array(found, np.int64)})
+            yield pd.DataFrame({"id": frame["id"], "fp": np.array(found, np.int64), "text_hash": frame["text_hash"]})
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(prints, f"id {kind}, fp bigint")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    return rows.mapInPandas(prints, f"id {kind}, fp bigint, text_hash bigint")
 
 
 def ball_masks(radius: int) -> list[int]:
@@ -84,6 +84,15 @@ def fingerprint_links(distinct: DataFrame, max_bits: int, fp: str = "fp") -> Dat
     return met.where((F.col("a") != F.col("b")) & (apart <= max_bits)).distinct()
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """(id, fp, text_hash, root) for each row; rows that can reach each other share a root."""
+    prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    distinct = materialize(prints.select("fp").distinct(), "distinct")
+    roots = components(fingerprint_links(distinct, max_bits))
+    joined = prints.join(roots, prints["fp"] == roots["node"], "left")
+    return joined.select("id", "fp", "text_hash", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
@@ -98,16 +107,31 @@ def near_duplicates(
     Copies share a fingerprint and are reduced to one before linking. What the links are made
     of grows with distinct fingerprints only.
     """
-    prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    roots = components(fingerprint_links(distinct, max_bits))
-    members = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    least = materialize(members.groupBy("root").agg(F.min("first").alias("component")), "least")
-    named = materialize(members.join(least, "root").select("fp", "component"), "named")
-    return prints.join(named, "fp").select(
-        F.col("id").alias(id_col),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.col("component").alias("component_id"),
+    rows = materialize(grouped(docs, id_col, text_col, shingle, max_bits), "grouped")
+    least = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    return rows.join(materialize(least, "least"), "root").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
+) -> DataFrame:
+    """One document of each group of near-duplicates, with its own columns.
+
+    It is the one with the smallest id (NULL last, ties by a hash of the text). Of repeated rows
+    one stays.
+    """
+    rows = materialize(grouped(docs, id_col, text_col, shingle, max_bits), "grouped")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    chosen = rows.groupBy("root").agg(first).select("first.id", "first.text_hash")
+    times = rows.groupBy("id", "text_hash").agg(F.count("*").alias("n"))
+    keys = ["id", "text_hash"]
+    pick = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    chosen = chosen.alias("c").join(times.alias("t"), pick("c", "t")).select("c.*", "t.n")
+    chosen = materialize(chosen, "chosen").alias("c")
+    keyed = docs.select(whole_row(docs), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash")).alias("d")
+    kept = keyed.join(chosen, pick("d", "c")).select("d.*", "c.n")
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(1)))
+    repeated = kept.where("n > 1").withColumn("nth", nth).where("nth = 1").select("row")
+    return unpacked_rows(kept.where("n = 1").select("row").unionByName(repeated), docs)
