@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import WordCache, byte_words, file_system, shuffle_shards
+from cardwarden.llm.common import file_system, shuffle_shards, texts_of
 from cardwarden.llm.crc32c import crc32c, masked
-from cardwarden.llm.tokens import _loaded, merge_model
+from cardwarden.llm.tokens import merge_model
 from cardwarden.sources.scratch import materialize, scratch_path
 
 HEAD = np.dtype([("length", "<u8"), ("check", "<u4")])
@@ -57,18 +57,6 @@ def payloads_of(block: bytes) -> list[bytes]:
     return out
 
 
-def encoder(path: str) -> tuple[callable, str]:
-    """Function from a text to its ids as bytes, and their type; words are encoded once."""
-    model = merge_model(path)
-    kind = "<u2" if model.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-    if ("ids", path) not in _loaded:
-        _loaded["ids", path] = WordCache(
-            lambda w: np.array(model.ids(w.decode("utf-8", "surrogatepass")), kind).tobytes()
-        )
-    cache = _loaded["ids", path]
-    return lambda text: b"".join(map(cache.__getitem__, byte_words(text, lower=False))), kind
-
-
 def write_records(
     docs: DataFrame, folder: str, model_path: str, end_id: int, id_col: str = "doc_id",
     text_col: str = "text", parts: int | None = None,
@@ -86,8 +74,8 @@ def write_records(
     rows = rows.sortWithinPartitions("id", "_h").select("id", "text")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, kind = encoder(model_path)
-        width = np.dtype(kind).itemsize
+        model = merge_model(model_path)
+        kind, width = model.kind, np.dtype(model.kind).itemsize
         end = np.array([end_id], kind).tobytes()
         task = TaskContext.get()
         part = task.partitionId()
@@ -107,10 +95,10 @@ def write_records(
             ready, size = [], 0
 
         for batch in batches:
-            for key, text in zip(batch["id"], batch["text"], strict=True):
+            for key, coded in zip(batch["id"], model.encode(texts_of(batch, "text")), strict=True):
                 if out is None:
                     out = store.open_output_stream(f"{own}.rec")
-                ids = encode(text) + end
+                ids = coded + end
                 has_id = not pd.isna(key)
                 own_part = np.array([(int(key) if has_id else 0, has_id, width)], OWN).tobytes()
                 ready.append(own_part + ids)
