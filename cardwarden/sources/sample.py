@@ -1,4 +1,4 @@
-"""The built-in 17-record sample: raw shape, read without normalisation."""
+"""The built-in sample: invented records in raw shape, read without normalisation."""
 
 from __future__ import annotations
 
@@ -9,53 +9,46 @@ from pyspark.sql import functions as F
 
 from cardwarden.sources.schemas import RAW_RECORD
 
-# fixed values: (agency code, unit code) of the sample's six agencies
-AGENCIES = {
-    "20000": "20001", "26000": "26001", "30000": "30001",
-    "36000": "36001", "40000": "40001", "53000": "53001",
-}
-
-# fixed values: (id, agency, day/month of 2026, amount text, supplier number)
+FIRST_ID = 7_000_001
+YEAR = 2026
+#: Agencies by letter: code, and code of the unit that spends.
+AGENCIES = {"A": ("11100", "11170"), "B": ("24200", "24260"), "C": ("37300", "37350"), "D": ("58400", "58440")}
+#: (day, month, amount text, agency, supplier) of each transaction.
 TRANSACTIONS = [
-    (100001, "20000", "12/01", "4.850,00", 1),
-    (100002, "30000", "15/01", "1.230,50", 2),
-    (100003, "40000", "18/01", "15.980,00", 3),
-    (100004, "26000", "22/01", "345,90", 4),
-    (100005, "53000", "29/01", "28.500,00", 5),
-    (100006, "20000", "05/02", "5.620,00", 1),
-    (100007, "30000", "10/02", "980,40", 6),
-    (100008, "40000", "14/02", "22.340,00", 7),
-    (100009, "36000", "20/02", "1.450,00", 2),
-    (100010, "20000", "27/02", "67.890,00", 8),
-    (100011, "30000", "02/03", "3.120,00", 9),
-    (100012, "40000", "08/03", "18.400,00", 3),
-    (100013, "26000", "14/04", "2.890,75", 10),
-    (100014, "36000", "20/05", "8.750,00", 11),
-    (100015, "20000", "26/06", "1.180,00", 2),
-    (100016, "40000", "11/07", "12.450,00", 7),
-    (100017, "53000", "18/08", "31.200,00", 5),
+    (6, 1, "912,40", "A", "PAPELARIA"), (9, 1, "41.005,00", "B", "OFICINA"),
+    (17, 1, "77,05", "C", "CAFE"), (23, 1, "2.048,00", "D", "GRAFICA"),
+    (3, 2, "1.003,99", "A", "CAFE"), (11, 2, "16.384,25", "C", "TRANSPORTE"),
+    (14, 2, "640,00", "B", "PAPELARIA"), (25, 2, "333,33", "A", "GRAFICA"),
+    (4, 3, "5.120,10", "B", "OFICINA"), (8, 3, "90,00", "C", "CAFE"),
+    (19, 3, "27.500,75", "A", "TRANSPORTE"), (31, 3, "1.111,11", "C", "LIVRARIA"),
+    (7, 4, "808,08", "B", "LIVRARIA"), (12, 4, "450,00", "A", "CAFE"),
+    (2, 5, "3.600,60", "C", "OFICINA"), (21, 5, "7.250,00", "B", "GRAFICA"),
+    (13, 6, "120,90", "A", "CAFE"), (28, 6, "9.999,99", "C", "TRANSPORTE"),
+    (10, 7, "2.345,67", "A", "PAPELARIA"), (26, 7, "15.750,00", "B", "TRANSPORTE"),
+    (5, 8, "68,50", "C", "CAFE"), (29, 8, "6.006,00", "A", "OFICINA"),
 ]
 
 
 def sample_json() -> list[str]:
     """The sample as JSON texts; people, firms and agencies carry placeholder names."""
-    return [
-        json.dumps({
-            "id": key,
-            "mesExtrato": "2026" + day[3:],
-            "dataTransacao": f"{day}/2026",
+    suppliers = sorted({t[4] for t in TRANSACTIONS})
+    texts = []
+    for number, (day, month, amount, letter, supplier) in enumerate(TRANSACTIONS):
+        agency, unit = AGENCIES[letter]
+        owner = {"codigo": agency, "nome": f"ORGAO {letter}"}
+        texts.append(json.dumps({
+            "id": FIRST_ID + number,
+            "mesExtrato": f"{YEAR}{month:02d}",
+            "dataTransacao": f"{day:02d}/{month:02d}/{YEAR}",
             "valorTransacao": amount,
             "tipoCartao": {"codigo": 1, "descricao": "Cartao de teste"},
-            "estabelecimento": {
-                "nome": f"FORNECEDOR {supplier}", "cgc": f"{supplier:02d}.***.***/0001-00",
-            },
-            "portador": {"nome": f"PORTADOR {agency}", "cpf": f"***.{agency[:3]}.000-**"},
-            "unidadeGestora": {"codigo": AGENCIES[agency], "nome": f"UNIDADE {AGENCIES[agency]}"},
-            "orgaoVinculado": {"codigo": agency, "nome": f"ORGAO {agency}"},
-            "orgaoSuperior": {"codigo": agency, "nome": f"ORGAO {agency}"},
-        })
-        for key, agency, day, amount, supplier in TRANSACTIONS
-    ]
+            "estabelecimento": {"nome": supplier, "cgc": f"{suppliers.index(supplier):02d}.***.***/0001-00"},
+            "portador": {"nome": f"PORTADOR {letter}", "cpf": f"***.{unit[:3]}.000-**"},
+            "unidadeGestora": {"codigo": unit, "nome": f"UNIDADE {letter}"},
+            "orgaoVinculado": owner,
+            "orgaoSuperior": owner,
+        }))
+    return texts
 
 
 def read_sample(spark: SparkSession) -> DataFrame:

@@ -2,7 +2,8 @@
 
 import datetime as dt
 import json
-from decimal import Decimal
+import statistics
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,18 +15,26 @@ from cardwarden.operators.staging import stage
 from cardwarden.plans import refresh, warehouse
 from cardwarden.sources.sample import read_sample, sample_json
 
-# id, mean, z, severity, weekday
-GOLDEN = [
-    (100001, "19885.00", -0.47, 1, 2), (100002, "1776.97", -0.47, 1, 5),
-    (100003, "17292.50", -0.32, 2, 1), (100004, "1618.33", -0.71, 1, 5),
-    (100005, "29850.00", -0.71, 2, 5), (100006, "19885.00", -0.44, 1, 5),
-    (100007, "1776.97", -0.68, 1, 3), (100008, "17292.50", 1.21, 2, 7),
-    (100009, "5100.00", -0.71, 1, 6), (100010, "19885.00", 1.50, 3, 6),
-    (100011, "1776.97", 1.15, 1, 2), (100012, "17292.50", 0.27, 2, 1),
-    (100013, "1618.33", 0.71, 1, 3), (100014, "5100.00", 0.71, 1, 4),
-    (100015, "19885.00", -0.58, 1, 6), (100016, "17292.50", -1.16, 1, 7),
-    (100017, "29850.00", 0.71, 2, 3),
-]
+def golden():
+    """(id, mean, z, severity, weekday) of each record of the sample, by plain Python."""
+    records = [json.loads(t) for t in sample_json()]
+    amount = {r["id"]: Decimal(r["valorTransacao"].replace(".", "").replace(",", ".")) for r in records}
+    agency = {r["id"]: r["orgaoSuperior"]["nome"] for r in records}
+    rows = []
+    for r in records:
+        same = [amount[i] for i in amount if agency[i] == agency[r["id"]]]
+        mean = (sum(same) / len(same)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        spread = statistics.stdev(same) if len(same) > 1 else 0
+        z = (amount[r["id"]] - sum(same) / len(same)) / spread if spread else Decimal(0)
+        z = float(z.quantize(Decimal("0.01"), ROUND_HALF_UP))
+        high = amount[r["id"]]
+        level = 3 if z >= 2.5 or high >= 40000 else 2 if z >= 1.8 or high >= 15000 else 1
+        day = dt.datetime.strptime(r["dataTransacao"], "%d/%m/%Y").isoweekday() % 7 + 1
+        rows.append((r["id"], str(mean), z, level, day))
+    return rows
+
+
+N_SAMPLE = len(sample_json())
 
 
 def settings(**other):
@@ -48,16 +57,16 @@ def clean(spark):
 def test_sample_refresh_gives_the_golden_rows(spark, clean):
     summary = {r.table_name: r.n_rows for r in refresh.refresh(spark, settings()).collect()}
     assert summary == {
-        "gold.fct_gastos_cartao": 17, "gold.dim_data": 1462, "gold.dim_orgaos": 6,
-        "gold.dim_favorecidos": 11, "gold.dim_portadores": 6, "gold.dim_nivel_alerta": 3,
-        "gold.score_anomalia_cartao": 17,
+        "gold.fct_gastos_cartao": N_SAMPLE, "gold.dim_data": 1462, "gold.dim_orgaos": 4,
+        "gold.dim_favorecidos": 6, "gold.dim_portadores": 4, "gold.dim_nivel_alerta": 3,
+        "gold.score_anomalia_cartao": N_SAMPLE,
     }
     rows = spark.table("gold.fct_gastos_cartao").join(spark.table("gold.dim_data"), "sk_data")
     got = sorted(
         (r.id_transacao, str(r.media_orgao), r.z_score, r.ordem_severidade, r.dia_semana)
         for r in rows.collect()
     )
-    assert got == GOLDEN
+    assert got == golden()
     assert spark.table("gold.dim_favorecidos").columns == ["sk_favorecido", "nome_favorecido"]
     assert spark.table("gold.dim_portadores").columns == ["sk_portador", "nome_portador"]
     scores = spark.table("gold.score_anomalia_cartao")
@@ -67,7 +76,7 @@ def test_sample_refresh_gives_the_golden_rows(spark, clean):
     )]
     star = facts.star_view(*gold, scores).where("nivel_alerta = 'CRITICO'").collect()
     assert [(r.id_transacao, r.nome_mes, r.nome_portador) for r in star] == [
-        (100010, "Fevereiro", "PORTADOR 20000"),
+        (7000002, "Janeiro", "PORTADOR B"),
     ]
     assert 0.0 <= star[0].anomaly_score <= 1.0
     assert scores.select("dt_processamento").distinct().count() == 1
@@ -78,7 +87,7 @@ def test_sample_refresh_gives_the_golden_rows(spark, clean):
 
     # an empty result leaves the scores alone
     assert warehouse.save_scores(scores.limit(0)) == 0
-    assert spark.table("gold.score_anomalia_cartao").count() == 17
+    assert spark.table("gold.score_anomalia_cartao").count() == N_SAMPLE
 
 
 def test_landed_pages_refresh(spark, clean, tmp_path):
@@ -93,14 +102,14 @@ def test_landed_pages_refresh(spark, clean, tmp_path):
         r.table_name: r.n_rows
         for r in refresh.refresh(spark, settings(), str(tmp_path)).collect()
     }
-    assert summary["gold.fct_gastos_cartao"] == 2
+    assert summary["gold.fct_gastos_cartao"] == 4
     # the next load has all months; bronze keeps what it had
     whole = settings(load_id="carga-2", first_month="1/2026", last_month="8/2026")
     summary = {r.table_name: r.n_rows for r in refresh.refresh(spark, whole, str(tmp_path)).collect()}
-    assert summary["gold.fct_gastos_cartao"] == 17
+    assert summary["gold.fct_gastos_cartao"] == N_SAMPLE
     with pytest.raises(EmptyLoadError):
         refresh.refresh(spark, settings(as_of=dt.date(2030, 1, 1)), str(tmp_path))
-    assert spark.table("bronze.cartoes_pagamento").count() == 17
+    assert spark.table("bronze.cartoes_pagamento").count() == N_SAMPLE
 
 
 def test_failing_check_stops_the_refresh(spark, clean):
@@ -160,12 +169,12 @@ def test_calendar(spark):
 
 
 def test_older_version_in_period_outlives_newer_one_outside(spark):
-    sample = flatten(read_sample(spark), "1").where("id = 100001")
+    sample = flatten(read_sample(spark), "1").where("id = 7000001")
     newer = sample.withColumns({
         "mes_extrato": F.lit("202312"), "_dlt_load_id": F.lit("2"), "valor_transacao": F.lit("1,00"),
     })
     row = stage(sample.unionByName(newer)).collect()
-    assert [(r.ano_mes_extrato, r.vl_transacao) for r in row] == [("2026-01", Decimal("4850.00"))]
+    assert [(r.ano_mes_extrato, r.vl_transacao) for r in row] == [("2026-01", Decimal("912.40"))]
 
 
 def test_severity_limits(spark):
@@ -178,7 +187,7 @@ def test_severity_limits(spark):
 
 
 def test_one_row_agency_has_z_zero(spark):
-    staging = stage(flatten(read_sample(spark), "1")).where("id_transacao in (100001, 100002)")
+    staging = stage(flatten(read_sample(spark), "1")).where("id_transacao in (7000001, 7000002)")
     named = facts.with_agency_name(facts.fact_silver(staging), dimensions.dim_orgaos(staging))
     gold = facts.fact_gold(named, facts.agency_stats(named)).collect()
     assert {r.z_score for r in gold} == {0.0}
