@@ -59,7 +59,8 @@ class Scanner:
         self.seeds = ahocorasick.Automaton()
         for seed, places in seeds.items():
             self.seeds.add_word(seed, (len(seed), places))
-        self.seeds.make_automaton()
+        if seeds:
+            self.seeds.make_automaton()
 
     def scan(self, text: str | None) -> tuple[int, list[tuple]]:
         """Number of words, and matches (label, first and last word, bytes, edits, score)."""
@@ -69,7 +70,7 @@ class Scanner:
         joined = " " + b" ".join(words).decode("latin-1") + " "
         found: dict[tuple[int, int, int], int] = {}
         windows: dict[int, list[list[int]]] = {}
-        for end, (size, places) in self.seeds.iter(joined):
+        for end, (size, places) in self.seeds.iter(joined) if len(self.seeds) else ():
             for i, offset in places:
                 n, at = self.notices[i], end + 1 - size - offset
                 stop = at + len(n.phrase)

@@ -19,10 +19,10 @@ from cardwarden.sources.scratch import materialize
 
 @dataclass(frozen=True)
 class QualitySpec:
-    """Parameters. ``labelled`` bounds the labelled rows used, half of them to fit and half to
+    """Parameters. ``labelled`` bounds the labelled rows used, three quarters to fit and the rest to
     find the threshold; ``buckets`` bounds the models."""
 
-    labelled: int = 16_000
+    labelled: int = 20_000
     buckets: int = 1 << 18
     grams: tuple[int, ...] = (4, 6, 8)
     prior: float = 1.5
@@ -62,11 +62,11 @@ def labelled_sample(labels: DataFrame, spec: QualitySpec) -> DataFrame:
     )
     hashed = each.withColumn("_h", F.xxhash64("doc_id", F.lit(spec.seed)))
     chosen = hashed.orderBy("_h", "doc_id").limit(spec.labelled)
-    return chosen.select(F.col("doc_id").alias("_label_id"), "_good", (F.col("_h") % 2 == 0).alias("_fit"))
+    return chosen.select(F.col("doc_id").alias("_label_id"), "_good", (F.col("_h") % 4 != 0).alias("_fit"))
 
 
 def ngram_models(docs: DataFrame, sample: DataFrame, spec: QualitySpec, id_col: str, text_col: str):
-    """Counts of every bucket: in all documents, and in the good ones of the fitting half."""
+    """Counts of every bucket: in all documents, and in the good ones of the fitting part."""
     good = F.coalesce((F.col("_good") == 1) & F.col("_fit"), F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.join(F.broadcast(sample), F.col("id") == F.col("_label_id"), "left").select(
@@ -87,7 +87,7 @@ def ngram_models(docs: DataFrame, sample: DataFrame, spec: QualitySpec, id_col:
             "counts": [zlib.compress(pieces[:, i].astype("<u8").tobytes(), 1) for i in range(parts)],
         })
 
-    def add(key, group: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(c), "<u8").astype(np.int64) for c in group["counts"])
         return pd.DataFrame({"part": [key[0]], "counts": [total.astype("<i8").tobytes()]})
 
@@ -170,7 +170,7 @@ def resampled(
     documents and of all raw ones give each document its log importance weight, target over raw.
     A document weighs as much as its worst parts, so that a bad passage is not made up for by
     length. As many documents are sampled as weigh at least the threshold that separates the
-    second half of the labelled sample best: those with the largest sum of weight over
+    held back part of the labelled sample best: those with the largest sum of weight over
     temperature and Gumbel noise (a hash of the id), which is sampling without replacement in
     proportion to the weights.
 

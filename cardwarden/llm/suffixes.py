@@ -311,7 +311,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 entries = distinct(runs.bucket, runs.around, shards)
                 at = entries.place
                 columns = [runs.bucket[at], runs.around[at], c.id_at(runs.first[at]), runs.first[at].astype("<u4")]
-                yield packed_entries(c.number, columns, entries.shard, shards)
+                if len(at):
+                    yield packed_entries(c.number, columns, entries.shard, shards)
 
     def ask_windows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(next(left.itertuples(index=False)))

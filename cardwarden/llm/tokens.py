@@ -166,7 +166,8 @@ def frequent_lengths(texts: DataFrame, path: str, limit: int = FREQUENT) -> dict
                 if len(seen) > COUNTED:
                     seen = Counter(dict(seen.most_common(COUNTED // 4)))
         top = [(w, n) for w, n in seen.most_common(REPORTED) if len(w) <= CACHE_WORD_BYTES]
-        yield pd.DataFrame({"word": [w for w, _ in top], "n": np.array([n for _, n in top], np.int64)})
+        if top:
+            yield pd.DataFrame({"word": [w for w, _ in top], "n": np.array([n for _, n in top], np.int64)})
 
     counted = texts.mapInPandas(report, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     model = piece_model(path)
