@@ -28,7 +28,6 @@ NAME_PATTERNS = [
 # fixed values: periods and calendar
 DEFAULT_YEAR = 2026
 MONTHS_BACK = 2
-PAGES_PER_MONTH = 5
 MONTH_CUTOFF = "2024-01"
 CALENDAR_START = "2023-01-01"
 CALENDAR_END = "2026-12-31"

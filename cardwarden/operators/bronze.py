@@ -55,8 +55,7 @@ def _publish(spark: SparkSession, pending: str, table: str) -> None:
     """Swap the prepared months into the table. Repeating it gives the same table."""
     prepared = spark.table(pending)
     filled = prepared.where(F.col(KEY).isNotNull())
-    for month in sorted(_months(prepared) - _months(filled)):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = '{month}')")
+    emptied = sorted(_months(prepared) - _months(filled))
     # the overwrite mode is set in a session of its own: the caller's settings stay untouched
     session = spark.newSession()
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -67,6 +66,9 @@ def _publish(spark: SparkSession, pending: str, table: str) -> None:
         .write.mode("overwrite")
         .insertInto(table)
     )
+    # months are emptied last: until then a moved transaction is there twice rather than not at all
+    for month in emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = '{month}')")
     spark.catalog.refreshTable(table)
     spark.sql(f"DROP TABLE {pending}")
 
@@ -91,7 +93,8 @@ def upsert(incoming: DataFrame, table: str = BRONZE_TABLE) -> None:
     its transactions lies. Their new content is written beside the table first (a table
     cannot overwrite itself while it is read), with one keyless row per touched month that
     tells an emptied month from an untouched one, and is then swapped in. ``incoming`` is
-    read several times and should be a written table.
+    read several times and should be a written table. There must be one writer at a time, as a
+    second one would take the first one's pending copy for a lost one.
     """
     spark = incoming.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")

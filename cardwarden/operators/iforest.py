@@ -36,39 +36,30 @@ def mean_path(n: int) -> float:
     return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
+class SampleError(RuntimeError):
+    """A tree got fewer rows than it should, which chance does not explain."""
+
+
 def sample_rows(matrix: DataFrame, n_rows: int, spec: ForestSpec, key: str) -> DataFrame:
-    """Rows of every tree's sample, chosen by hash: the same for any partitioning.
+    """Rows of every tree's sample, chosen by hash: the same for any partitioning and any size.
 
-    With enough rows the smallest hashes form one pool, dealt out to the trees in turn.
-    A bound on the hash keeps about the wanted number of rows before the sort, so that no
-    map task sends more than its share; should too few pass, the bound is doubled.
-    With fewer rows, which is a bounded number, every tree takes its own smallest hashes.
+    A tree takes the rows of the smallest hashes of (key, tree). Each row keeps only the trees
+    for which its hash is below a bound that lets through about twice the sample, so that no
+    map task sends more than its share and a tree's rows are a bounded group.
     """
     columns = [key, *MODEL_COLUMNS]
-    wanted = spec.trees * spec.sample
-    if n_rows < wanted:
-        per_tree = W.partitionBy("tree").orderBy("_h", key)
-        return (
-            matrix.select(*columns, F.explode(F.sequence(F.lit(0), F.lit(spec.trees - 1))).alias("tree"))
-            .withColumn("_h", F.xxhash64(key, "tree", F.lit(spec.seed)))
-            .withColumn("_rn", F.row_number().over(per_tree))
-            .where(F.col("_rn") <= spec.sample)
-            .select("tree", *columns)
-        )
-    hashed = matrix.select(*columns, F.xxhash64(key, F.lit(spec.seed)).alias("_h"))
-    share = min(1.0, 1.25 * wanted / n_rows)
-    while True:
-        candidates = hashed
-        if share < 1.0:
-            candidates = hashed.where(F.col("_h") < int(-(2**63) + share * 2**64))
-        if share >= 1.0 or candidates.count() >= wanted:
-            break
-        share = min(1.0, 2 * share)
-    pool = candidates.orderBy("_h", key).limit(wanted)
-    rank = F.row_number().over(W.orderBy("_h", key))  # one task, over the bounded pool only
-    return pool.withColumn("_rn", rank).select(
-        ((F.col("_rn") - 1) % spec.trees).cast("int").alias("tree"), *columns
+    share = min(1.0, 2.0 * spec.sample / max(n_rows, 1))
+    numbers = F.sequence(F.lit(0), F.lit(spec.trees - 1))
+    hashed = F.transform(
+        numbers, lambda t: F.struct(t.alias("tree"), F.xxhash64(F.col(key), t, F.lit(spec.seed)).alias("_h"))
     )
+    if share < 1.0:
+        bound = int(-(2**63) + share * 2**64)
+        hashed = F.filter(hashed, lambda x: x["_h"] < bound)
+    chosen = matrix.select(*columns, F.explode(hashed).alias("_t")).select("_t.*", *columns)
+    per_tree = W.partitionBy("tree").orderBy("_h", key)
+    ranked = chosen.withColumn("_rn", F.row_number().over(per_tree))
+    return ranked.where(F.col("_rn") <= spec.sample).select("tree", *columns)
 
 
 def grow_tree(points: np.ndarray, depth_limit: int, rng: np.random.Generator) -> list[tuple]:
@@ -95,9 +86,12 @@ def grow_tree(points: np.ndarray, depth_limit: int, rng: np.random.Generator) ->
 def fit(matrix: DataFrame, n_rows: int, spec: ForestSpec = ForestSpec(), key: str = "id_transacao"
         ) -> DataFrame:
     """The forest as rows: at most ``trees`` × ``2 * sample - 1`` of them for any input size."""
+    wanted = min(spec.sample, n_rows)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
+        if len(group) < wanted:
+            raise SampleError(f"tree {tree} has {len(group)} of {wanted} rows")
         points = group.sort_values(key)[MODEL_COLUMNS].to_numpy(float)
         depth_limit = ceil(log2(max(len(points), 2)))
         nodes = grow_tree(points, depth_limit, np.random.default_rng([spec.seed, tree]))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwarden.sources.scratch import materialize
+
 HOT_KEYS = 1000
-SALTS = 1009
 
 
 def attach_group_count(
@@ -19,24 +20,23 @@ def attach_group_count(
 ) -> DataFrame:
     """Number of ``source`` rows with a ``counted`` value behind each row's key, as ``out``.
 
-    Rows are counted per key before any shuffle. The ``hot_keys`` most frequent keys are a
-    table of that many rows at most, so their counts are broadcast. Their rows are done then:
-    in the second join they carry a salt in place of the key, which meets no partner and
-    spreads them over all tasks. Every other key holds at most 1/``hot_keys`` of the rows.
-    A NULL key gives a NULL count.
+    Rows are counted per key once, before any shuffle, and the counts are written. The
+    ``hot_keys`` most frequent keys are a table of that many rows at most, so their counts are
+    broadcast. Their rows are done then: in the second join they carry a salt in place of the
+    key, which meets no partner and spreads them over all tasks, however many there are. Every
+    other key holds at most 1/``hot_keys`` of the rows. A NULL key gives a NULL count.
 
     The salt is part of the one join key on purpose: as a second key with a constant on the
     other side, the optimizer would turn it into a filter and shuffle by the bare key.
     """
-    counts = (
-        source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias("_n"))
-    )
+    counts = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias("_n"))
+    counts = materialize(counts, f"counts_{key}")
     hot = counts.orderBy(F.desc("_n"), key).limit(hot_keys)
     hot = hot.select(F.col(key).alias("_hot_key"), F.col("_n").alias("_hot_n"))
     tagged = F.concat(F.lit("="), F.col(key).cast("string"))
     cold = counts.select(tagged.alias("_cold_key"), F.col("_n").alias("_cold_n"))
     marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    salt = F.concat(F.lit("#"), F.pmod(F.xxhash64(counted), F.lit(SALTS)).cast("string"))
+    salt = F.concat(F.lit("#"), F.xxhash64(counted).cast("string"))
     is_cold = F.col("_hot_key").isNull() & F.col(key).isNotNull()
     marked = marked.withColumn("_join_key", F.when(is_cold, tagged).otherwise(salt))
     joined = marked.join(cold, F.col("_join_key") == F.col("_cold_key"), "left")

@@ -23,12 +23,12 @@ NO_MONTH = "outros"
 
 
 def bronze_partition() -> Column:
-    """Partition value of a bronze row: its month, or one bucket for texts that are none.
+    """Partition value of a bronze row: its month 01..12, or one bucket for texts that are none.
 
     The bucket sorts after every month, so a lower bound on it never prunes such rows.
     """
     month = statement_month(F.col("mes_extrato"))
-    return F.when(month.rlike(r"^\d{4}-\d{2}$"), month).otherwise(F.lit(NO_MONTH))
+    return F.when(month.rlike(r"^\d{4}-(0[1-9]|1[0-2])$"), month).otherwise(F.lit(NO_MONTH))
 
 
 def parse(bronze: DataFrame) -> DataFrame:
@@ -76,12 +76,12 @@ def stage(bronze: DataFrame, cutoff: str = MONTH_CUTOFF) -> DataFrame:
     """Typed rows from ``cutoff`` on, the latest load of each transaction.
 
     The period is cut before the latest load is picked: an older version inside the period
-    outlives a newer one outside it.
+    outlives a newer one outside it. Rows equal in load and row id are settled by all their
+    columns, so the input's order never decides.
     """
     if PARTITION in bronze.columns:
         bronze = bronze.where(F.col(PARTITION) >= cutoff)
     rows = parse(bronze).where(F.col("ano_mes_extrato") >= cutoff)
-    return latest_version(
-        rows, "id_transacao",
-        "_dlt_load_id", "_dlt_id", "ano_mes_extrato", "dt_transacao", "vl_transacao",
-    )
+    newest = ["_dlt_load_id", "_dlt_id", "ano_mes_extrato", "dt_transacao", "vl_transacao"]
+    rest = [c for c in rows.columns if c not in newest and c != "id_transacao"]
+    return latest_version(rows, "id_transacao", *newest, *rest)

@@ -15,7 +15,6 @@ from cardwarden.fixed_values import (
     MODEL_VERSION,
     MONTH_CUTOFF,
     MONTHS_BACK,
-    PAGES_PER_MONTH,
 )
 from cardwarden.functions.periods import chosen_window
 from cardwarden.operators import bronze, calendar, dimensions, facts, iforest, quality, scoring
@@ -25,7 +24,7 @@ from cardwarden.operators.staging import stage
 from cardwarden.plans import warehouse
 from cardwarden.sources.landing import planned_months, read_pages, until_first_gap
 from cardwarden.sources.sample import read_sample
-from cardwarden.sources.scratch import materialize
+from cardwarden.sources.scratch import materialize, scratch_run
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +39,7 @@ class Settings:
     first_month: str = ""
     last_month: str = ""
     months_back: int = MONTHS_BACK
-    max_pages: int = PAGES_PER_MONTH
+    max_pages: int | None = None
     whole_files: bool = True
     cutoff: str = MONTH_CUTOFF
     calendar_start: str = CALENDAR_START
@@ -64,19 +63,16 @@ def window(spark: SparkSession, settings: Settings) -> tuple[str, str]:
 def ingest_landing(spark: SparkSession, root: str, settings: Settings) -> None:
     """Upsert the landed pages of the window into bronze.
 
-    JSON is parsed once: the normalised rows are written, and the search for page gaps, the
-    empty check and the upsert read that copy.
+    The good pages are found first; only their rows are then normalised and written, and the
+    upsert reads that copy.
     """
     first, last = window(spark, settings)
     months = planned_months(spark, first, last)
-    pages = read_pages(spark, root, months, settings.max_pages, settings.whole_files)
-    pages = pages.withColumnsRenamed({"mes": "_mes", "pagina": "_pagina"})
-    records = normalize_records(pages)
-    flat = flatten(records, settings.load_id, keep=["_mes", "_pagina"])
-    landed = materialize(flat.withColumnsRenamed({"_mes": "mes", "_pagina": "pagina"}), "landed")
-    kept = until_first_gap(landed).drop("mes", "pagina")
-    bronze.require_records(kept, f"{first} to {last}")
-    bronze.upsert(kept)
+    pages = until_first_gap(read_pages(spark, root, months, settings.max_pages, settings.whole_files))
+    flat = flatten(normalize_records(pages.drop("mes", "pagina")), settings.load_id)
+    landed = materialize(flat, "landed")
+    bronze.require_records(landed, f"{first} to {last}")
+    bronze.upsert(landed)
 
 
 def ingest_sample(spark: SparkSession, settings: Settings) -> None:
@@ -151,17 +147,19 @@ def refresh(spark: SparkSession, settings: Settings, landing: str | None = None)
     """One whole refresh; without a landing folder it runs on the built-in sample.
 
     A failing anomaly run is logged and does not stop the refresh; a failing check and an
-    empty fact do. Returns the summary of the gold layer.
+    empty fact do. Returns the summary of the gold layer. Intermediate copies are removed at the
+    end, also on failure.
     """
-    if landing is None:
-        ingest_sample(spark, settings)
-    else:
-        ingest_landing(spark, landing, settings)
-    models = transform(spark, settings)
-    try:
-        log.info("anomalies: %s", detect_anomalies(spark, settings))
-    except Exception:
-        log.exception("anomaly detection failed; the refresh goes on without new scores")
-    quality.require_passed(quality.run_checks(models))
-    warehouse.require_fact(spark)
+    with scratch_run(spark):
+        if landing is None:
+            ingest_sample(spark, settings)
+        else:
+            ingest_landing(spark, landing, settings)
+        models = transform(spark, settings)
+        try:
+            log.info("anomalies: %s", detect_anomalies(spark, settings))
+        except Exception:
+            log.exception("anomaly detection failed; the refresh goes on without new scores")
+        quality.require_passed(quality.run_checks(models))
+        warehouse.require_fact(spark)
     return warehouse.layer_summary(spark)

@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+from cardwarden.operators.iforest import mean_path
+from cardwarden.operators.quality import (
+    NON_EMPTY_DIMENSIONS,
+    NON_EMPTY_FACT,
+    NOT_NULL,
+    RELATIONSHIPS,
+    UNIQUE,
+)
+from cardwarden.plans.testdata_queries import GIVEN_FOREST
+
 # -- shared steps, in the order they build on each other ----------------------------------
 
 PARTIES = """
@@ -404,10 +414,10 @@ def unique_sql(table: str, name: str, column: str) -> str:
     )
 
 
-def relationship_sql(column: str, parent: str) -> str:
+def relationship_sql(column: str, parent: str, child: str = "d_fato", name: str = "fct_gastos_cartao") -> str:
     return (
-        "SELECT 'relationships' AS \"check\", 'fct_gastos_cartao' AS table_name, "
-        f"'{column}' AS column_name, count(*) AS failures FROM d_fato c "
+        f"SELECT 'relationships' AS \"check\", '{name}' AS table_name, "
+        f"'{column}' AS column_name, count(*) AS failures FROM {child} c "
         f"WHERE c.{column} IS NOT NULL AND NOT EXISTS "
         f"(SELECT 1 FROM {parent} p WHERE p.{column} = c.{column})"
     )
@@ -420,6 +430,27 @@ def non_empty_sql(name: str, rows: str) -> str:
     )
 
 
+LANDED = """, landed AS (
+          SELECT *, strftime(d, '%Y-%m') AS mes, CAST(k % 7 + 1 AS INTEGER) AS pagina
+          FROM feed2 WHERE load = 1
+        ), kept AS (
+          SELECT * FROM landed
+          WHERE NOT (month(d) % 4 = 0 AND pagina = 4) AND NOT (month(d) % 4 = 1 AND pagina = 1)
+            AND mes BETWEEN '1997-01' AND '1999-12' AND pagina <= {last_page}
+        ), pages AS (SELECT DISTINCT mes, pagina FROM kept
+        ), ranked AS (
+          SELECT mes, pagina, row_number() OVER (PARTITION BY mes ORDER BY pagina) AS rn FROM pages
+        ), good AS (SELECT mes, pagina FROM ranked WHERE pagina = rn)"""
+
+
+#: The step that stands for each model, with planted defects.
+DEFECTIVE = {
+    "stg_cpgf_despesas": "staging", "dim_data": "d_data", "dim_orgaos": "orgaos", "dim_favorecidos": "d_fav",
+    "dim_portadores": "d_por", "fct_gastos_cartao": "d_fato", "gold_dim_data": "d_data",
+    "gold_dim_orgaos": "orgaos", "gold_dim_favorecidos": "d_fav", "gold_dim_portadores": "d_nobody",
+    "gold_dim_nivel_alerta": "d_niveis", "gold_fct_gastos_cartao": "d_gold",
+}
+
 ORACLES: dict[str, str] = {
     "month_plan": """
         WITH spans AS (
@@ -454,23 +485,16 @@ ORACLES: dict[str, str] = {
           CASE WHEN o_orderkey % 5 = 0 THEN '03/1999'
                ELSE strftime(o_orderdate, '%m/%Y') END AS fim
         FROM orders""",
-    "landing_scan": SHARED + """, landed AS (
-          SELECT *, strftime(d, '%Y-%m') AS mes, CAST(k % 7 + 1 AS INTEGER) AS pagina
-          FROM feed2 WHERE load = 1
-        ), kept AS (
-          SELECT * FROM landed
-          WHERE NOT (month(d) % 4 = 0 AND pagina = 4) AND NOT (month(d) % 4 = 1 AND pagina = 1)
-            AND mes BETWEEN '1997-01' AND '1999-12' AND pagina <= 6
-        ), pages AS (SELECT DISTINCT mes, pagina FROM kept
-        ), ranked AS (
-          SELECT mes, pagina, row_number() OVER (PARTITION BY mes ORDER BY pagina) AS rn FROM pages
-        ), good AS (SELECT mes, pagina FROM ranked WHERE pagina = rn)
+    "landing_scan": SHARED + LANDED.format(last_page=6) + """
         SELECT kept.mes, kept.pagina, raw.id, raw.mes_extrato AS "mesExtrato",
           raw.data_transacao AS "dataTransacao", raw.valor_transacao AS "valorTransacao",
           raw.tipo_codigo, raw.est_nome AS nome,
           CASE WHEN raw.vinc_dentro THEN raw.vinc_codigo END AS codigo_siafi
         FROM kept JOIN good ON kept.mes = good.mes AND kept.pagina = good.pagina
         JOIN raw ON raw.id = kept.k AND raw.load = 1""",
+    "landing_all_pages": SHARED + LANDED.format(last_page=7) + """
+        SELECT mes, pagina, count(*) AS n, min(k) AS menor_id FROM kept JOIN good USING (mes, pagina)
+        GROUP BY mes, pagina""",
     "normalize_records": SHARED + """
         SELECT id, CAST(t_id AS BIGINT) AS tipo_id, t_codigo AS tipo_codigo,
           t_descricao AS tipo_descricao, nome, razao AS razao_social, fantasia AS nome_fantasia,
@@ -583,6 +607,55 @@ ORACLES: dict[str, str] = {
         relationship_sql("sk_favorecido", "d_fav"),
         relationship_sql("sk_portador", "d_por"),
     ]),
+    "dq_all": SHARED + """, d_gold AS (
+          SELECT * REPLACE (CASE WHEN id_transacao % 91 <> 0 THEN z_score END AS z_score) FROM gold
+        ), d_niveis AS (
+          SELECT * REPLACE (CASE WHEN ordem_severidade = 2 THEN 'OUTRO' ELSE nivel_alerta END AS nivel_alerta)
+          FROM niveis WHERE ordem_severidade < 3
+        ), d_nobody AS (SELECT * FROM portadores WHERE nome_portador = '')
+        """ + " UNION ALL ".join([
+        *[not_null_sql(step, name, NOT_NULL[name]) for name, step in DEFECTIVE.items()],
+        *[unique_sql(step, name, UNIQUE[name]) for name, step in DEFECTIVE.items()],
+        *[
+            relationship_sql(column, DEFECTIVE[parent], DEFECTIVE[child], child)
+            for child, parents in RELATIONSHIPS.items() for column, parent in parents.items()
+        ],
+        *[non_empty_sql(name, DEFECTIVE[name]) for name in NON_EMPTY_FACT + NON_EMPTY_DIMENSIONS],
+        """SELECT 'accepted_values', 'gold_dim_nivel_alerta', 'nivel_alerta', count(DISTINCT nivel_alerta)
+           FROM d_niveis WHERE nivel_alerta NOT IN ('NORMAL', 'MODERADO', 'CRITICO')""",
+    ]),
+    "layer_gate": SHARED + "SELECT count(*) AS n, true AS passed, true AS empty_refused FROM gold",
+    "upsert_table": SHARED + UPSERTED.format(rows="SELECT * FROM bronze"),
+    "score_sink": SHARED + "SELECT * FROM flagged",
+    "star_scored": SHARED + """
+        SELECT g.*, c.* EXCLUDE (sk_data), o.* EXCLUDE (sk_orgao), n.* EXCLUDE (ordem_severidade),
+               f.nome_favorecido, p.nome_portador, s.* EXCLUDE (id_transacao, dt_processamento)
+        FROM gold g LEFT JOIN calendario c USING (sk_data) LEFT JOIN orgaos o USING (sk_orgao)
+        LEFT JOIN niveis n USING (ordem_severidade)
+        LEFT JOIN favorecidos f USING (sk_favorecido) LEFT JOIN portadores p USING (sk_portador)
+        LEFT JOIN flagged s USING (id_transacao)""",
+    "forest_given": SHARED.replace("WITH ", "WITH RECURSIVE ", 1) + f""", forest(tree, node, feature, cut, path) AS (
+          VALUES {", ".join(str((t, n, f, c, p)) for t, n, f, c, p, _ in GIVEN_FOREST)}
+        ), points AS (
+          SELECT id_transacao, [vl_transacao, coalesce(z_score, 0.0), razao_media_orgao, CAST(dia_semana AS DOUBLE),
+            CAST(fl_fim_semana AS DOUBLE), CAST(freq_favorecido AS DOUBLE), CAST(freq_portador AS DOUBLE)] AS x
+          FROM features
+        ), walk AS (
+          SELECT id_transacao, x, tree, node, feature, cut, path FROM points, forest WHERE node = 0
+          UNION ALL
+          SELECT w.id_transacao, w.x, n.tree, n.node, n.feature, n.cut, n.path
+          FROM walk w JOIN forest n ON n.tree = w.tree
+            AND n.node = 2 * w.node + CASE WHEN w.x[w.feature + 1] <= w.cut THEN 1 ELSE 2 END
+          WHERE w.feature >= 0
+        )
+        SELECT id_transacao, round(pow(2.0, -avg(path) / {float(mean_path(256))!r}), 9) AS grau
+        FROM walk WHERE feature < 0 GROUP BY id_transacao""",
+    "forest_sample": SHARED + """
+        SELECT CAST(t AS INTEGER) AS tree, least(256, (SELECT count(*) FROM features)) AS n,
+               least(256, (SELECT count(*) FROM features)) AS n_distinct FROM range(150) r(t)""",
+    "forest_contract": SHARED + """
+        SELECT count(*) AS n, count(DISTINCT id_transacao) AS n_distinct, 0 AS n_null, 0.0::DOUBLE AS low,
+               1.0::DOUBLE AS high, 0 AS n_wrong_flags, true AS enough_flags, 0 AS n_wrong_reasons FROM features""",
     "dq_accepted": SHARED + """
         SELECT 'accepted_values' AS "check", 'gold_dim_nivel_alerta' AS table_name,
           'nivel_alerta' AS column_name, count(DISTINCT nivel_alerta) AS failures

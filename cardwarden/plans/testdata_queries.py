@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +16,11 @@ from cardwarden.functions.periods import chosen_window, normalize_period, statem
 from cardwarden.functions.text import sanitize_name
 from cardwarden.operators import calendar as cal
 from cardwarden.operators import dimensions, facts, iforest, quality, scoring
-from cardwarden.operators.bronze import merge
+from cardwarden.operators.bronze import merge, upsert
 from cardwarden.operators.features import feature_frame, gold_features, model_matrix
 from cardwarden.operators.normalize import flatten, normalize_records
 from cardwarden.operators.staging import stage
-from cardwarden.plans.warehouse import count_rows
+from cardwarden.plans.warehouse import EmptyFactError, count_rows, publish, require_fact, save_scores
 from cardwarden.sources.landing import month_plan, read_landing
 from cardwarden.sources.scratch import materialize, scratch_path
 from cardwarden.sources.testdata import (
@@ -31,6 +33,24 @@ from cardwarden.sources.testdata import (
 )
 
 RUN_TS = datetime(2026, 9, 30, 12, 0, 0)
+#: A forest of two trees: tree, node (children of n are 2n + 1 and 2n + 2), feature or -1, cut, path, rows.
+GIVEN_FOREST = [
+    (0, 0, 0, 2000.5, 0.0, 256), (0, 1, -1, 0.0, 6.25, 256), (0, 2, 1, 1.005, 0.0, 256),
+    (0, 5, -1, 0.0, 4.5, 256), (0, 6, -1, 0.0, 2.75, 256),
+    (1, 0, 5, 20.5, 0.0, 256), (1, 1, 2, 1.2500005, 0.0, 256), (1, 2, -1, 0.0, 5.5, 256),
+    (1, 3, -1, 0.0, 7.125, 256), (1, 4, 3, 5.5, 0.0, 256), (1, 9, -1, 0.0, 3.5, 256), (1, 10, -1, 0.0, 2.25, 256),
+]
+
+
+@contextmanager
+def throw_away_database(spark: SparkSession) -> Iterator[str]:
+    """A database for one query; what is to outlive it must be written elsewhere."""
+    name = f"cardwarden_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 # -- building blocks ---------------------------------------------------------------------
@@ -156,6 +176,12 @@ def q_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_landing_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per landed page without a cap: only a gap ends a month."""
+    rows = read_landing(spark, land_pages(spark, sf_dir), "1/1997", "199912", whole_files=False)
+    return rows.groupBy("mes", "pagina").agg(F.count("*").alias("n"), F.min("id").alias("menor_id"))
+
+
 def q_normalize_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defaults, document precedence and alternate agency paths."""
     r = normalize_records(raw_records(spark, sf_dir, (1,)))
@@ -202,6 +228,15 @@ def q_bronze_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(bronze(spark, sf_dir, (1,)), incoming).select(UPSERT_COLUMNS)
 
 
+def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three loads through the real upsert into a table, read back."""
+    with throw_away_database(spark) as database:
+        for load in LOADS:
+            rows = materialize(bronze(spark, sf_dir, (load,)), "load")
+            upsert(rows, f"{database}.cartoes")
+        return materialize(spark.table(f"{database}.cartoes").select(UPSERT_COLUMNS), "upserted")
+
+
 def q_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corrections inside the rolling window merged into the first load."""
     newest = table(spark, sf_dir, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
@@ -381,6 +416,57 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.run_summary(materialize(flagged_rows(spark, sf_dir), "flagged"))
 
 
+def q_star_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star view with the score satellite."""
+    return q_star_view(spark, sf_dir).join(
+        q_score_tail(spark, sf_dir).drop("dt_processamento"), "id_transacao", "left"
+    )
+
+
+def q_score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores saved to their table, which an empty result then leaves alone."""
+    with throw_away_database(spark) as database:
+        scores = flagged_rows(spark, sf_dir)
+        save_scores(scores, f"{database}.scores")
+        save_scores(scores.limit(0), f"{database}.scores")
+        return materialize(spark.table(f"{database}.scores"), "saved_scores")
+
+
+def given_forest(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(GIVEN_FOREST, iforest.FOREST_SCHEMA)
+
+
+def q_forest_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feature rows scored by a small forest that is written down (K4)."""
+    matrix = model_matrix(feature_frame(gold_rows(spark, sf_dir)))
+    scored = iforest.score(matrix, given_forest(spark))
+    return scored.select("id_transacao", F.round("raw_score", 9).alias("grau"))
+
+
+def q_forest_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every tree's sample, and how many different rows it has (K3)."""
+    matrix = materialize(model_matrix(feature_frame(gold_rows(spark, sf_dir))), "matrix")
+    sample = iforest.sample_rows(matrix, matrix.count(), iforest.ForestSpec(), "id_transacao")
+    return sample.groupBy("tree").agg(
+        F.count("*").alias("n"), F.count_distinct("id_transacao").alias("n_distinct")
+    )
+
+
+def q_forest_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What any fitted forest must give: every row once, scores from 0 to 1, flags in order (K3-K6)."""
+    scores = materialize(q_iforest_scores(spark, sf_dir), "scores")
+    p95, p99 = F.col("is_anomaly_p95"), F.col("is_anomaly_p99")
+    n = F.count("*")
+    return scores.agg(
+        n.alias("n"), F.count_distinct("id_transacao").alias("n_distinct"),
+        F.count_if(F.col("anomaly_score").isNull()).alias("n_null"),
+        F.min("anomaly_score").alias("low"), F.max("anomaly_score").alias("high"),
+        F.count_if((p99 == 1) & (p95 == 0)).alias("n_wrong_flags"),
+        ((F.sum(p95) >= F.floor(n * 0.05)) & (F.sum(p99) >= F.floor(n * 0.01))).alias("enough_flags"),
+        F.count_if((p95 == 0) & (F.col("motivo_anomalia") != "Padrão regular")).alias("n_wrong_reasons"),
+    )
+
+
 def q_iforest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Isolation forest fitted on and scoring all rows (K3, K4), through to the flags."""
     features = materialize(feature_frame(gold_rows(spark, sf_dir)), "features")
@@ -436,6 +522,40 @@ def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def q_dq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared checks over silver and gold with planted defects."""
+    models = defective_models(spark, sf_dir)
+    staging = written_staging(spark, sf_dir)
+    k = F.col("id_transacao")
+    gold = gold_fact(staging).withColumn("z_score", F.when(k % 91 != 0, F.col("z_score")))
+    levels = dimensions.dim_nivel_alerta(spark)
+    wrong = F.when(F.col("ordem_severidade") == 2, F.lit("OUTRO")).otherwise(F.col("nivel_alerta"))
+    models |= {f"gold_{name}": models[name] for name in ("dim_data", "dim_orgaos", "dim_favorecidos")}
+    models |= {
+        "stg_cpgf_despesas": staging,
+        "gold_dim_portadores": models["dim_portadores"].where("nome_portador = ''"),
+        "gold_dim_nivel_alerta": levels.withColumn("nivel_alerta", wrong).where("ordem_severidade < 3"),
+        "gold_fct_gastos_cartao": materialize(gold, "gold"),
+    }
+    return quality.run_checks(models)
+
+
+def q_layer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate on the written gold fact: its rows, or an error if there are none."""
+    with throw_away_database(spark) as database:
+        fact = publish(gold_fact(written_staging(spark, sf_dir)), f"{database}.fct")
+        publish(fact.limit(0), f"{database}.nothing")
+        refused = False
+        try:
+            require_fact(spark, f"{database}.nothing")
+        except EmptyFactError:
+            refused = True
+        n = require_fact(spark, f"{database}.fct")
+        return materialize(fact.agg(F.count("*").alias("n")).select(
+            "n", (F.lit(n) == F.col("n")).alias("passed"), F.lit(refused).alias("empty_refused")
+        ), "gate")
+
+
 def q_dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert levels that occur in the fact but are missing from a shortened list (L4)."""
     fact = gold_fact(written_staging(spark, sf_dir))
@@ -456,7 +576,7 @@ def q_dq_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_layer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the layers."""
+    """Row counts of the layers."""
     staging = written_staging(spark, sf_dir)
     return count_rows({
         "silver.stg_cpgf_despesas": staging,

@@ -47,20 +47,47 @@ def create_layers(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
 
+def publish(df: DataFrame, table: str) -> DataFrame:
+    """Replace a table by ``df``: written beside it whole, then swapped in by renaming.
+
+    Readers find the old table until the new one is complete. A swap that a lost driver left
+    half done is finished, or the old table put back, by :func:`recover` at the next publication.
+    """
+    spark = df.sparkSession
+    recover(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+    df.write.saveAsTable(f"{table}__next")
+    _swap(spark, table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def _swap(spark: SparkSession, table: str) -> None:
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {table}__last")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__last")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}__last")
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Undo a swap that was cut off between its two renames."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__last"):
+        spark.sql(f"ALTER TABLE {table}__last RENAME TO {table}")
+
+
 def refresh_table(df: DataFrame, model: str) -> DataFrame:
     """Full refresh of a model; returns the written table, whose size Spark then knows."""
-    spark, table = df.sparkSession, TABLES[model]
-    df.write.mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    return publish(df, TABLES[model])
 
 
 def stage_view(staging: DataFrame) -> DataFrame:
-    """Staging as a view over one written copy.
+    """Staging as a view over one written copy, which the next refresh replaces.
 
     Four models read it. As a plain view each of them would repeat the shuffle that picks
     the latest loads.
     """
-    written = materialize(staging, STAGING_VIEW)
+    written = refresh_table(staging, STAGING_VIEW)
     written.createOrReplaceTempView(STAGING_VIEW)
     return written
 
@@ -76,7 +103,7 @@ def save_scores(scores: DataFrame, table: str = SCORE_TABLE) -> int:
     )
     count = ready.count()
     if count:
-        ready.write.mode("overwrite").saveAsTable(table)
+        publish(ready, table)
     return count
 
 

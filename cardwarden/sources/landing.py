@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwarden.fixed_values import PAGES_PER_MONTH
 from cardwarden.functions.periods import month_number, month_text, normalize_period
 from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
+from cardwarden.sources.scratch import materialize
+
+log = logging.getLogger(__name__)
 
 
 def month_plan(periods: DataFrame, first: str = "inicio", last: str = "fim") -> DataFrame:
@@ -36,10 +41,10 @@ def read_pages(
     spark: SparkSession,
     root: str,
     months: list[str],
-    max_pages: int = PAGES_PER_MONTH,
+    max_pages: int | None = None,
     whole_files: bool = True,
 ) -> DataFrame:
-    """Raw records of the planned months, pages ``1..max_pages``.
+    """Raw records of the planned months; all pages, or ``1..max_pages`` where a caller asks.
 
     Both filters are on partition columns, so other files are never opened.
     ``whole_files`` reads a file as one array or one object; otherwise one object a line,
@@ -49,30 +54,35 @@ def read_pages(
         spark.read.schema(f"{RAW_RECORD}, {LANDING_PARTITIONS}")
         .option("multiLine", whole_files)
         .json(root)
+        .where(F.col("mes").isin(months) & (F.col("pagina") >= 1))
     )
-    return pages.where(F.col("mes").isin(months) & F.col("pagina").between(1, max_pages))
+    return pages if max_pages is None else pages.where(F.col("pagina") <= max_pages)
 
 
-def until_first_gap(records: DataFrame) -> DataFrame:
-    """Drop, per month, everything after the first page that holds no record.
+def page_report(records: DataFrame) -> DataFrame:
+    """(mes, pagina, n_rows, kept) of every page with records, written.
 
-    The page list is reduced before any shuffle. Counting a page 0 for every month, the last
-    good page is the smallest one without a successor. The months are those of the plan, a
-    handful of rows, which is why that side may be broadcast.
+    Kept are, per month, the pages 1, 2, … up to the first that holds no record: the page that
+    is the n-th of its month has the number n. Records are counted before any shuffle.
     """
-    pages = records.select("mes", "pagina").distinct()
-    counted = pages.unionByName(pages.select("mes", F.lit(0).alias("pagina")))
-    preceding = pages.select("mes", (F.col("pagina") - 1).alias("pagina"))
-    last_good = (
-        counted.join(preceding, ["mes", "pagina"], "left_anti")
-        .groupBy("mes")
-        .agg(F.min("pagina").alias("_last_good"))
-    )
-    return (
-        records.join(F.broadcast(last_good), "mes")
-        .where(F.col("pagina") <= F.col("_last_good"))
-        .select(*records.columns)
+    pages = records.groupBy("mes", "pagina").agg(F.count("*").alias("n_rows"))
+    place = F.row_number().over(W.partitionBy("mes").orderBy("pagina"))
+    return materialize(pages.withColumn("kept", F.col("pagina") == place), "pages")
+
+
+def until_first_gap(records: DataFrame, report: DataFrame | None = None) -> DataFrame:
+    """Drop, per month, everything after the first page that holds no record, and say so.
+
+    A lost file hides the rest of its month: the pages and rows dropped are logged per month.
+    """
+    report = report or page_report(records)
+    dropped = report.where("not kept").groupBy("mes").agg(
+        F.count("*").alias("pages"), F.sum("n_rows").alias("rows")
     )
+    for row in dropped.orderBy("mes").collect():  # one row a month of the plan
+        log.warning("%s: %d pages with %d rows lie behind a gap and are dropped", row.mes, row.pages, row.rows)
+    good = report.where("kept").select("mes", "pagina")
+    return records.join(good, ["mes", "pagina"]).select(*records.columns)
 
 
 def read_landing(
@@ -80,9 +90,12 @@ def read_landing(
     root: str,
     first: str,
     last: str,
-    max_pages: int = PAGES_PER_MONTH,
+    max_pages: int | None = None,
     whole_files: bool = True,
 ) -> DataFrame:
-    """Records of a period as the paged source would give them."""
+    """Records of a period as the paged source would give them.
+
+    The files are read twice: for the list of pages, and for the rows of the good ones.
+    """
     months = planned_months(spark, first, last)
     return until_first_gap(read_pages(spark, root, months, max_pages, whole_files))

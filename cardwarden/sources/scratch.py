@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +31,25 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_run: ContextVar[str] = ContextVar("scratch_run", default="")
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Copies made inside lie in a folder of this run, which goes at the end, also on failure."""
+    folder = f"{scratch_root(spark)}/cardwarden/run-{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/cardwarden/{label}-{uuid.uuid4().hex}"
+    folder = _run.get() or f"{scratch_root(spark)}/cardwarden"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -45,10 +65,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where few files give fewer tasks than cores; otherwise unchanged.
-
-    For work that is heavy per row, such as parsing. Large inputs have enough splits and are
-    not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt out over all cores, for work that is heavy per row and few input files."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -12,10 +12,14 @@ from cardwarden.sources.scratch import materialize
 
 
 def upsert_batch(load_prefix: str, table: str = bronze.BRONZE_TABLE):
-    """Sink function: the batch number makes the load id, so a repeated batch changes nothing."""
+    """Sink function: the batch number makes the load id, so a repeated batch changes nothing.
+
+    Load ids are compared as text. With an ISO day as ``load_prefix`` the stream's loads follow
+    that day's batch load and precede the next day's: "2026-09-30" < "2026-09-30.000000001".
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        flat = flatten(normalize_records(batch.drop("mes", "pagina")), f"{load_prefix}{number:09d}")
+        flat = flatten(normalize_records(batch.drop("mes", "pagina")), f"{load_prefix}.{number:09d}")
         rows = materialize(flat, "batch")
         if not rows.isEmpty():
             bronze.upsert(rows, table)

@@ -98,7 +98,7 @@ def land(root, month, page, payload):
     (folder / f"{uuid.uuid4().hex}.json").write_text(json.dumps(payload))
 
 
-def test_pages_up_to_cap_and_gap(spark, tmp_path):
+def test_pages_up_to_the_gap(spark, tmp_path, caplog):
     land(tmp_path, "2026-01", 1, [{"id": 1}, {"id": 2}])
     land(tmp_path, "2026-01", 2, {"id": 3})
     land(tmp_path, "2026-01", 3, [])
@@ -108,7 +108,13 @@ def test_pages_up_to_cap_and_gap(spark, tmp_path):
         land(tmp_path, "2026-03", page, [{"id": 100 + page}])
     land(tmp_path, "2026-04", 1, [{"id": 6}])
     got = read_landing(spark, str(tmp_path), "1/2026", "3/2026")
-    assert sorted(r.id for r in got.collect()) == [1, 2, 3, 101, 102, 103, 104, 105]
+    assert sorted(r.id for r in got.collect()) == [1, 2, 3, *range(101, 108)]
+    assert [r.getMessage() for r in caplog.records] == [
+        "2026-01: 1 pages with 1 rows lie behind a gap and are dropped",
+        "2026-02: 1 pages with 1 rows lie behind a gap and are dropped",
+    ]
+    capped = read_landing(spark, str(tmp_path), "1/2026", "3/2026", max_pages=5)
+    assert sorted(r.id for r in capped.collect()) == [1, 2, 3, *range(101, 106)]
     assert read_landing(spark, str(tmp_path), "4/2026", "1/2026").count() == 0
 
 
@@ -157,6 +163,16 @@ def test_untouched_months_are_not_rewritten(spark, table, tmp_path):
     assert files() == before and len(content(spark, table)) == 3
 
 
+def test_months_that_do_not_exist_are_no_partitions(spark, table):
+    bronze.upsert(flat_rows(spark, "1", (1, "999999", "a"), (2, "202677", "b"), (3, "202612", "c")), table)
+    assert [r[:2] for r in content(spark, table)] == [(1, "outros"), (2, "outros"), (3, "2026-12")]
+
+
+def test_stream_loads_follow_their_day():
+    stream = [f"2026-09-30.{n:09d}" for n in (0, 7, 12)]
+    assert sorted(["2026-10-01", *stream[::-1], "2026-09-30"]) == ["2026-09-30", *stream, "2026-10-01"]
+
+
 def test_half_done_publication_is_finished(spark, table, monkeypatch):
     bronze.upsert(flat_rows(spark, "1", (1, "202601", "a"), (2, "202602", "b")), table)
 

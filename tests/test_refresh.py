@@ -191,3 +191,53 @@ def test_one_row_agency_has_z_zero(spark):
     named = facts.with_agency_name(facts.fact_silver(staging), dimensions.dim_orgaos(staging))
     gold = facts.fact_gold(named, facts.agency_stats(named)).collect()
     assert {r.z_score for r in gold} == {0.0}
+
+
+def test_equal_versions_are_settled_by_content(spark):
+    sample = flatten(read_sample(spark), "1").where("id = 7000001")
+    other = sample.withColumn("estabelecimento__nome", F.lit("ZZZ"))
+    for rows in (sample.unionByName(other), other.unionByName(sample)):
+        assert [r.nome_favorecido for r in stage(rows.coalesce(1)).collect()] == ["ZZZ"]
+
+
+def test_a_cut_off_swap_leaves_a_whole_table(spark, clean, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold")
+    publish = lambda n: warehouse.publish(spark.range(n), "gold.t")
+    publish(3)
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "_swap", lost)
+        with pytest.raises(RuntimeError):
+            publish(5)
+    assert spark.table("gold.t").count() == 3
+    spark.sql("ALTER TABLE gold.t RENAME TO gold.t__last")  # lost between the two renames
+    warehouse.recover(spark, "gold.t")
+    assert spark.table("gold.t").count() == 3
+    assert publish(4).count() == 4
+    assert {t.name for t in spark.catalog.listTables("gold") if not t.isTemporary} == {"t"}
+
+
+def test_copies_of_a_run_are_removed(spark):
+    from pathlib import Path
+
+    from cardwarden.sources.scratch import materialize, scratch_run
+
+    with pytest.raises(RuntimeError), scratch_run(spark) as folder:
+        assert materialize(spark.range(4), "copy").count() == 4
+        assert Path(folder.removeprefix("file:")).exists()
+        raise RuntimeError("failed on the way")
+    assert not Path(folder.removeprefix("file:")).exists()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from cardwarden.sources.scratch import scratch_root
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(session)

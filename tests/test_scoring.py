@@ -85,7 +85,7 @@ def random_matrix(spark, n, partitions):
     return spark.createDataFrame(frame).repartition(partitions)
 
 
-@pytest.mark.parametrize("n", [900, 6000])  # own samples per tree, and one dealt pool
+@pytest.mark.parametrize("n", [300, 900, 6000])
 def test_forest_ignores_partitioning(spark, n):
     spec = iforest.ForestSpec(trees=15)
     forests = [
@@ -98,6 +98,16 @@ def test_forest_ignores_partitioning(spark, n):
     assert forests[0].tree.nunique() == 15 and (forests[0].rows == 256).all()
 
 
+def test_one_sampling_rule_at_every_size(spark):
+    spec = iforest.ForestSpec(trees=150, sample=4)
+    for n in (599, 600, 601):  # as many rows as all samples together, one less and one more
+        sample = iforest.sample_rows(random_matrix(spark, n, 3), n, spec, "id_transacao").collect()
+        per_tree = Counter(r.tree for r in sample)
+        assert set(per_tree.values()) <= set(range(5)) and len(per_tree) > 140
+        assert len({(r.tree, r.id_transacao) for r in sample}) == len(sample)
+        assert len({r.id_transacao for r in sample}) < len(sample)  # trees may share rows
+
+
 def test_outliers_score_high(spark):
     matrix = random_matrix(spark, 6000, 4)
     forest = iforest.fit(matrix, 6000, iforest.ForestSpec(trees=20))
@@ -188,6 +198,23 @@ def test_hot_rows_are_spread_by_the_shuffle(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 12000 / 4
 
 
+def test_a_hot_key_uses_all_of_many_partitions(spark):
+    rows = spark.range(60000).select("id", F.lit("quente").alias("k"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for name, value in zip(before, ("-1", "false")):
+            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        joined = attach_group_count(rows, rows, "k", "id", "n", 10)
+        tasks = joined.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert tasks > 1990
+
+
 def test_summary(spark):
     flagged = tail(spark, [(i, i / 200, 0, None, 9, 1.0) for i in range(201)])
     row = scoring.run_summary(flagged).first()
