@@ -72,16 +72,19 @@ def latest_version(rows: DataFrame, key: str, *newest_first: str) -> DataFrame:
     return ranked.where(F.col("_rn") == 1).drop("_rn")
 
 
-def stage(bronze: DataFrame, cutoff: str = MONTH_CUTOFF) -> DataFrame:
+def stage(bronze: DataFrame, cutoff: str = MONTH_CUTOFF, one_version: bool = False) -> DataFrame:
     """Typed rows from ``cutoff`` on, the latest load of each transaction.
 
     The period is cut before the latest load is picked: an older version inside the period
     outlives a newer one outside it. Rows equal in load and row id are settled by all their
-    columns, so the input's order never decides.
+    columns, so the input's order never decides. ``one_version`` says that there is one row an
+    id already, as in the bronze table, and leaves out the shuffle of all rows by id.
     """
     if PARTITION in bronze.columns:
         bronze = bronze.where(F.col(PARTITION) >= cutoff)
     rows = parse(bronze).where(F.col("ano_mes_extrato") >= cutoff)
+    if one_version:
+        return rows
     newest = ["_dlt_load_id", "_dlt_id", "ano_mes_extrato", "dt_transacao", "vl_transacao"]
     rest = [c for c in rows.columns if c not in newest and c != "id_transacao"]
     return latest_version(rows, "id_transacao", *newest, *rest)

@@ -81,10 +81,13 @@ def ingest_sample(spark: SparkSession, settings: Settings) -> None:
 
 
 def transform(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """Refresh silver and gold from bronze; every model reads written tables."""
+    """Refresh silver and gold from bronze; every model reads written tables.
+
+    The upsert leaves one row an id in bronze, which the unique check on staging guards.
+    """
     warehouse.create_layers(spark)
     write = warehouse.refresh_table
-    staging = warehouse.stage_view(stage(spark.table(bronze.BRONZE_TABLE), settings.cutoff))
+    staging = warehouse.stage_view(stage(spark.table(bronze.BRONZE_TABLE), settings.cutoff, one_version=True))
     models = {"stg_cpgf_despesas": staging}
     silver = {
         "dim_data": calendar.calendar(spark, settings.calendar_start, settings.calendar_end),
