@@ -626,6 +626,12 @@ ORACLES: dict[str, str] = {
     ]),
     "layer_gate": SHARED + "SELECT count(*) AS n, true AS passed, true AS empty_refused FROM gold",
     "upsert_table": SHARED + UPSERTED.format(rows="SELECT * FROM bronze"),
+    "stream_upsert": SHARED + LANDED.format(last_page=7) + """
+        SELECT b.id, b.mes_extrato, b.valor_transacao, b.estabelecimento__nome, b.unidade_gestora__nome,
+          '1999-12-31.000000000' AS _dlt_load_id, md5('1999-12-31.000000000|' || b.id) AS _dlt_id
+        FROM bronze b JOIN landed l ON l.k = b.id
+        WHERE b._dlt_load_id = 'load-001'
+          AND NOT (month(d) % 4 = 0 AND pagina = 4) AND NOT (month(d) % 4 = 1 AND pagina = 1)""",
     "score_sink": SHARED + "SELECT * FROM flagged",
     "star_scored": SHARED + """
         SELECT g.*, c.* EXCLUDE (sk_data), o.* EXCLUDE (sk_orgao), n.* EXCLUDE (ordem_severidade),

@@ -31,6 +31,7 @@ from cardwarden.sources.testdata import (
     raw_records,
     table,
 )
+from cardwarden.streaming.late_data import stream_landing
 
 RUN_TS = datetime(2026, 9, 30, 12, 0, 0)
 #: A forest of two trees: tree, node (children of n are 2n + 1 and 2n + 2), feature or -1, cut, path, rows.
@@ -237,6 +238,15 @@ def q_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         return materialize(spark.table(f"{database}.cartoes").select(UPSERT_COLUMNS), "upserted")
 
 
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages through the stream sink into a table, read back."""
+    with throw_away_database(spark) as database:
+        table_name, checkpoint = f"{database}.cartoes", scratch_path(spark, "stream")
+        pages = land_pages(spark, sf_dir)
+        stream_landing(spark, pages, checkpoint, "1999-12-31", table_name, whole_files=False).awaitTermination()
+        return materialize(spark.table(table_name).select(UPSERT_COLUMNS), "streamed")
+
+
 def q_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corrections inside the rolling window merged into the first load."""
     newest = table(spark, sf_dir, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
