@@ -47,7 +47,9 @@ def encoded(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
     top = int(values[-1]) if n else 0
     low = max(0, (top // n).bit_length() - 1) if n else 0
     shift = np.uint64(low)
-    lower = ((values[:, None] >> np.arange(low, dtype=np.uint64)) & ONE).astype(np.uint8).ravel()
+    lower = np.empty(n * low, np.uint8)
+    for bit in range(low):
+        lower[bit::low] = ((values >> np.uint64(bit)) & ONE).astype(np.uint8)
     upper = np.zeros(n + (top >> low) + 2, np.uint8)
     upper[(values >> shift).astype(np.int64) + np.arange(n)] = 1
     words = _packed_bits(upper)

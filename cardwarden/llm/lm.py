@@ -27,7 +27,7 @@ from cardwarden.llm.eliasfano import BigramTrie
 from cardwarden.sources.scratch import materialize
 
 #: Tokens of a chunk; a longer text is a chunk of its own.
-CHUNK_TOKENS = 2_500_000
+CHUNK_TOKENS = 1_000_000
 #: Weight of the unigram model, in occurrences.
 PRIOR = 100.0
 #: Number of the mark before a text; words have numbers from 1.
@@ -179,7 +179,9 @@ def read_bigrams(data: bytes) -> tuple[np.ndarray, ...]:
 def weigh_bigrams(group: pd.DataFrame, number: int, prior: float) -> pd.DataFrame:
     """The shard's part of the model as a trie, and its answer to every chunk."""
     asked = [read_bigrams(d) for d in group["entries"]]
+    ends = np.cumsum([len(a[0]) for a in asked])
     context, word, counts, context_count = (np.concatenate(c) for c in zip(*asked, strict=True))
+    del asked
     contexts, rank = np.unique(context, return_inverse=True)
     width = int(word.max()) + 1
     if len(contexts) * width < 1 << 62:
@@ -197,9 +199,10 @@ def weigh_bigrams(group: pd.DataFrame, number: int, prior: float) -> pd.DataFram
     seen, first = np.unique(pair_rank, return_index=True)
     weights = total / (of_context[pair_rank] + prior)
     trie = BigramTrie(contexts[seen], np.append(first, len(pair_rank)), pair_word, weights)
-    rows = []
-    for chunk, (c, w, _, _) in zip(group["chunk"], asked, strict=True):
-        codes = trie.codes(c, w)
+    del pairs, of, pair_rank, pair_word, total, counts, context_count, rank
+    rows, start = [], 0
+    for chunk, end in zip(group["chunk"], ends.tolist(), strict=True):
+        codes, start = trie.codes(context[start:end], word[start:end]), end
         body = trie.book.astype("<f8").tobytes() + codes.tobytes()
         rows.append((number, chunk, 3, zstandard.ZstdCompressor(level=1).compress(body), 0, 0))
     return pd.DataFrame(rows, columns=["shard", "chunk", "kind", "entries", "n", "v"])
@@ -296,7 +299,7 @@ def language_scores(
                     rows.append((s, c.number, np.array([len(head)], "<i8").tobytes() + head + body))
                 yield pd.DataFrame(rows, columns=["shard", "chunk", "entries"])
 
-    def sum_words(key, group: pd.DataFrame) -> pd.DataFrame:
+    def sum_words(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return add_words(group, int(key[0]), shards)
 
     rows = docs.select(
@@ -324,7 +327,7 @@ def language_scores(
         ]
         return pd.DataFrame(rows, columns=["shard", "chunk", "entries"])
 
-    def weigh(key, group: pd.DataFrame) -> pd.DataFrame:
+    def weigh(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return weigh_bigrams(group, int(key[0]), prior)
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
