@@ -1,7 +1,6 @@
 """Nearest neighbours against all pairs."""
 
 import numpy as np
-from frames import SF
 from pyspark.sql import functions as F
 
 from cardwarden.llm import neighbours as nn
@@ -75,4 +74,3 @@ def test_recall_of_the_query(spark):
     found = sum(len({i for _, i in got[q]} & {i for _, i in near}) for q, near in expected.items())
     assert found >= 0.9 * sum(map(len, expected.values()))
     assert set(got) == set(expected) and all(len(v) == 5 for v in got.values())
-    assert SF
