@@ -143,9 +143,6 @@ class Chunk:
                 out[low:high] = names_of(data)[1][starts[low:high] - base]
         return out
 
-    def id_at(self, positions: np.ndarray) -> np.ndarray:
-        return self.ids[np.searchsorted(self.starts, positions, "right") - 1]
-
 
 def shard_of(names: np.ndarray, shards: int) -> np.ndarray:
     return (mix64(names.copy()) % np.uint64(shards)).astype(np.int64)
@@ -171,47 +168,62 @@ def distinct(names: np.ndarray, more: np.ndarray, shards: int) -> Entries:
     return Entries(order[new], entry_of, shard[order][new])
 
 
-def packed_entries(number: int, columns: list[np.ndarray], shard: np.ndarray, shards: int) -> pd.DataFrame:
-    """One row a shard: its entries column by column, halves of wide columns apart."""
-    rows = []
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes before all second ones, which compresses better."""
+    wide = np.ascontiguousarray(values)
+    return wide.view(np.uint8).reshape(len(wide), -1).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    part = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
+    return np.ascontiguousarray(part.T).view(kind).ravel()
+
+
+def packed_entries(chunk: Chunk, names: np.ndarray, around: np.ndarray | None, place: np.ndarray,
+                   shard: np.ndarray, shards: int) -> pd.DataFrame:
+    """One row a shard: steps of the ascending names, surroundings, places; and the chunk's ids.
+
+    A place tells its document, as the starts and ids of the chunk's documents go with it.
+    """
+    ids, sizes = np.diff(chunk.ids, prepend=0), chunk.sizes
+    documents = planes(ids.astype("<i8")) + planes(sizes.astype("<i8"))
+    zstd, rows = zstandard.ZstdCompressor(level=1), []
     for s, own in cut_by_shard(shard, shards):
-        parts = []
-        for column in columns:
-            c = np.ascontiguousarray(column[own])
-            if c.dtype == np.int64:  # ids: the upper halves are mostly alike
-                c = np.ascontiguousarray(c.view("<u4").reshape(-1, 2).T)
-            parts.append(c.tobytes())
-        rows.append((s, number, b"".join(parts)))
+        steps = np.diff(names[own], prepend=np.uint64(0))
+        n = len(steps)
+        head = np.array([n, len(ids)], "<i8").tobytes()
+        more = around[own].astype("<u8").tobytes() if around is not None else b""
+        body = planes(steps.astype("<u8")) + planes(place[own].astype("<i8")) + documents + more
+        rows.append((s, chunk.number, zstd.compress(head + body)))
     return pd.DataFrame(rows, columns=["shard", "chunk", "entries"])
 
 
-def unpacked_entries(entries: bytes, kinds: list[str]) -> list[np.ndarray]:
-    size = sum(np.dtype(k).itemsize for k in kinds)
-    n, at, out = len(entries) // size, 0, []
-    for kind in kinds:
-        width = np.dtype(kind).itemsize * n
-        part = entries[at:at + width]
-        if kind == "<i8":
-            out.append(np.ascontiguousarray(np.frombuffer(part, "<u4").reshape(2, n).T).view("<i8").ravel())
-        else:
-            out.append(np.frombuffer(part, kind))
-        at += width
-    return out
+def unpacked_entries(entries: bytes, refine: bool) -> tuple[np.ndarray, ...]:
+    """(names, surroundings, ids, places)."""
+    data = zstandard.ZstdDecompressor().decompress(entries)
+    n, m = (int(x) for x in np.frombuffer(data, "<i8", 2))
+    steps, place = from_planes(data, "<u8", n, 16), from_planes(data, "<i8", n, 16 + 8 * n)
+    at = 16 + 16 * n
+    ids, sizes = from_planes(data, "<i8", m, at), from_planes(data, "<i8", m, at + 8 * m)
+    around = np.frombuffer(data, "<u8", n, at + 16 * m) if refine else np.zeros(n, np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    document = np.searchsorted(starts, place, "right") - 1
+    return np.cumsum(steps, dtype=np.uint64), around, np.cumsum(ids)[document], place
 
 
-def answers(group: pd.DataFrame, kinds: list[str], refine: bool) -> pd.DataFrame:
+def answers(group: pd.DataFrame, refine: bool) -> pd.DataFrame:
     """Flags of every entry of a shard.
 
     DUPLICATE: an equal name stands earlier, in the order of id, chunk and place. REFINE: the
     bucket holds different surroundings.
     """
     group = group.sort_values("chunk")
-    columns = [unpacked_entries(e, kinds) for e in group["entries"]]
+    columns = [unpacked_entries(e, refine) for e in group["entries"]]
     sizes = [len(c[0]) for c in columns]
-    joined = [np.concatenate(c) for c in zip(*columns, strict=True)]
+    name, around, ids, place = (np.concatenate(c) for c in zip(*columns, strict=True))
+    del columns
     chunk = np.repeat(group["chunk"].to_numpy(), sizes)
-    name, ids, place = joined[0], joined[-2], joined[-1]
-    around = joined[1] if refine else np.zeros(len(name), np.uint8)
     order = np.argsort(name, kind="stable")
     same = name[order][1:] == name[order][:-1]
     shared = np.zeros(len(order), bool)
@@ -253,10 +265,6 @@ def refined_windows(chunk: Chunk, flags: np.ndarray, shards: int):
     return runs, repeated, starts, names, distinct(names, np.zeros(len(names), np.uint8), shards)
 
 
-FIRST_KINDS = ["<u8", "<u8", "<i8", "<u4"]
-SECOND_KINDS = ["<u8", "<i8", "<u4"]
-
-
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row (doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``docs``.
 
@@ -310,16 +318,15 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 runs = c.runs()
                 entries = distinct(runs.bucket, runs.around, shards)
                 at = entries.place
-                columns = [runs.bucket[at], runs.around[at], c.id_at(runs.first[at]), runs.first[at].astype("<u4")]
                 if len(at):
-                    yield packed_entries(c.number, columns, entries.shard, shards)
+                    first = runs.first[at]
+                    yield packed_entries(c, runs.bucket[at], runs.around[at], first, entries.shard, shards)
 
     def ask_windows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(next(left.itertuples(index=False)))
         _, _, starts, names, entries = refined_windows(c, joined_flags(right), shards)
         at = entries.place
-        columns = [names[at], c.id_at(starts[at]), starts[at].astype("<u4")]
-        return packed_entries(c.number, columns, entries.shard, shards)
+        return packed_entries(c, names[at], None, starts[at], entries.shard, shards)
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         c = Chunk(next(left.itertuples(index=False)))
@@ -347,10 +354,10 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     chunks = materialize(rows.mapInPandas(collect, CHUNK), "chunks")
     asked = chunks.mapInPandas(ask, ASKED)
-    first = asked.groupBy("shard").applyInPandas(lambda g: answers(g, FIRST_KINDS, True), ANSWER)
+    first = asked.groupBy("shard").applyInPandas(lambda g: answers(g, True), ANSWER)
     first = materialize(first, "buckets")
     windows = chunks.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInPandas(ask_windows, ASKED)
-    second = windows.groupBy("shard").applyInPandas(lambda g: answers(g, SECOND_KINDS, False), ANSWER)
+    second = windows.groupBy("shard").applyInPandas(lambda g: answers(g, False), ANSWER)
     second = materialize(second, "windows")
     both = first.withColumn("level", F.lit(1)).unionByName(second.withColumn("level", F.lit(2)))
     found = chunks.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(finish, RESULT)
