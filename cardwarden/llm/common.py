@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words of a generation of a worker's cache, which keeps two; only speed depends on it.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Longer words are worked out each time and never cached.
 CACHE_WORD_BYTES = 64
 
@@ -31,6 +31,12 @@ def texts_of(frame: pd.DataFrame, column: str) -> list[str]:
     return [t if isinstance(t, str) else "" for t in frame[column]]
 
 
+def parts_of(texts, rows: int = 256) -> Iterator:
+    """A batch of texts in small parts, where work on a text takes several times its size."""
+    for start in range(0, len(texts), rows):
+        yield texts[start:start + rows]
+
+
 class WordCache(dict):
     """Values of words, each worked out at its first use; bounded, and kept by the process.
 
@@ -59,6 +65,17 @@ class WordCache(dict):
         return word in self or word in self.old
 
 
+_kept: dict[str, tuple] = {}
+
+
+def kept_cache(name: str, key, value: callable) -> WordCache:
+    """The one cache that this process keeps, a new one if its name or key has changed."""
+    if name not in _kept or _kept[name][0] != key:
+        _kept.clear()
+        _kept[name] = key, WordCache(value)
+    return _kept[name][1]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of unsigned 64-bit numbers that spreads every bit over all (SplitMix64)."""
     x = x ^ (x >> np.uint64(30))

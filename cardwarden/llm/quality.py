@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import WordCache, byte_words, texts_of, unpacked_rows, whole_row
+from cardwarden.llm.common import CACHE_WORD_BYTES, byte_words, kept_cache, parts_of, texts_of, unpacked_rows, whole_row
 from cardwarden.llm.selection import literal, prefix_end
 from cardwarden.sources.scratch import materialize
 
@@ -33,11 +34,19 @@ class QualitySpec:
     seed: int = 11
 
 
-def word_buckets(word: bytes, sizes: tuple[int, ...], buckets: int) -> np.ndarray:
-    """Buckets of a word: the word itself and its byte n-grams, ends marked."""
+def word_hashes(word: bytes, sizes: tuple[int, ...]) -> bytes:
+    """Hashes (uint32) of a word: the word itself and its byte n-grams, ends marked."""
     marked = b"\x02" + word + b"\x03"
-    grams = [marked[i:i + n] for n in sizes for i in range(max(1, len(marked) - n + 1))]
-    return np.fromiter(map(zlib.crc32, [b"\x01" + word, *grams]), np.uint32, len(grams) + 1) & np.uint32(buckets - 1)
+    grams = [b"\x01" + word]
+    for n in sizes:
+        grams += [marked[i:i + n] for i in range(max(1, len(marked) - n + 1))]
+    return array("I", map(zlib.crc32, grams)).tobytes()
+
+
+def joined_buckets(hashes: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of many words one after another, and how many each word has."""
+    joined = np.frombuffer(b"".join(hashes), np.uint32) & np.uint32(buckets - 1)
+    return joined, np.fromiter(map(len, hashes), np.int64, len(hashes)) // 4
 
 
 def bucket_counts(texts: list[str], cache: dict, buckets: int) -> np.ndarray:
@@ -46,9 +55,8 @@ def bucket_counts(texts: list[str], cache: dict, buckets: int) -> np.ndarray:
         seen.update(byte_words(text))
     if not seen:
         return np.zeros(buckets)
-    ids = [cache[w] for w in seen]
-    weight = np.repeat(np.fromiter(seen.values(), float, len(seen)), [len(i) for i in ids])
-    return np.bincount(np.concatenate(ids), weight, buckets)
+    ids, sizes = joined_buckets(list(map(cache.__getitem__, seen)), buckets)
+    return np.bincount(ids, np.repeat(np.fromiter(seen.values(), float, len(seen)), sizes), buckets)
 
 
 def labelled_sample(labels: DataFrame, spec: QualitySpec) -> DataFrame:
@@ -75,7 +83,7 @@ def ngram_models(docs: DataFrame, sample: DataFrame, spec: QualitySpec, id_col:
     parts = 16
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordCache(lambda w: word_buckets(w, spec.grams, spec.buckets))
+        cache = kept_cache("hashes", spec.grams, lambda w: word_hashes(w, spec.grams))
         total = np.zeros((2, spec.buckets))
         for frame in frames:
             texts, target = texts_of(frame, "text"), frame["target"].to_numpy(bool)
@@ -118,14 +126,24 @@ def weigher(spark, ratios: np.ndarray, spec: QualitySpec):
     """
     shared = spark.sparkContext.broadcast(ratios)  # spec.buckets numbers
     half = max(1, spec.segment // 2)
+    key = (spec.grams, zlib.crc32(ratios.tobytes()))
 
     @F.pandas_udf("double")
     def weight(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = shared.value
-        cache = WordCache(lambda w: float(table[word_buckets(w, spec.grams, spec.buckets)].sum()))
 
-        def worst(text) -> float:
-            words = byte_words(text if isinstance(text, str) else "")
+        def sums(words: list[bytes]) -> list[float]:
+            ids, sizes = joined_buckets([word_hashes(w, spec.grams) for w in words], spec.buckets)
+            return np.add.reduceat(table[ids], np.cumsum(sizes) - sizes).tolist()
+
+        cache = kept_cache("ratios", key, lambda w: sums([w])[0])
+
+        def learn(words: set[bytes]) -> None:
+            new = [w for w in words.difference(cache).difference(cache.old) if len(w) <= CACHE_WORD_BYTES]
+            for word, ratio in zip(new, sums(new) if new else (), strict=True):
+                cache.put(word, ratio)
+
+        def worst(words: list[bytes]) -> float:
             n = len(words)
             if not n:
                 return 0.0
@@ -138,7 +156,12 @@ def weigher(spark, ratios: np.ndarray, spec: QualitySpec):
             return float(np.partition(each, k - 1)[:k].mean() + (parts / sizes).min())
 
         for batch in batches:
-            yield pd.Series([worst(t) for t in batch], dtype=float)
+            found = []
+            for part in parts_of(batch):
+                texts = [byte_words(t if isinstance(t, str) else "") for t in part]
+                learn(set().union(*texts))
+                found += [worst(t) for t in texts]
+            yield pd.Series(found, dtype=float)
 
     return weight
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import file_system, shuffle_shards, texts_of
+from cardwarden.llm.common import file_system, parts_of, shuffle_shards, texts_of
 from cardwarden.llm.crc32c import crc32c, masked
 from cardwarden.llm.tokens import merge_model
 from cardwarden.sources.scratch import materialize, scratch_path
@@ -95,7 +95,8 @@ def write_records(
             ready, size = [], 0
 
         for batch in batches:
-            for key, coded in zip(batch["id"], model.encode(texts_of(batch, "text")), strict=True):
+            coded_texts = (c for part in parts_of(texts_of(batch, "text")) for c in model.encode(part))
+            for key, coded in zip(batch["id"], coded_texts, strict=True):
                 if out is None:
                     out = store.open_output_stream(f"{own}.rec")
                 ids = coded + end
