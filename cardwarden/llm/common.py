@@ -43,9 +43,9 @@ class WordCache(dict):
     Once it is full, it becomes the old generation, from which words in use are taken over.
     """
 
-    def __init__(self, value: callable):
+    def __init__(self, value: callable, words: int | None = None):
         super().__init__()
-        self.value, self.old = value, {}
+        self.value, self.words, self.old = value, words, {}
 
     def __missing__(self, word):
         found = self.old.get(word)
@@ -56,7 +56,7 @@ class WordCache(dict):
         return found
 
     def put(self, word, found) -> None:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= (self.words or CACHE_WORDS):
             self.old = dict(self)
             self.clear()
         self[word] = found

@@ -18,6 +18,8 @@ FREQUENT = 16_384
 #: Pre-tokens that one task may count at a time, and reports.
 COUNTED, REPORTED = 200_000, 8_192
 
+#: Words of a generation of the cache of token ids, which cost most to work out.
+ID_WORDS = 400_000
 #: New words that are encoded as one text.
 JOINED = 500
 
@@ -84,7 +86,7 @@ class MergeModel:
         self.ends = np.zeros(1 + max(self.model.get_vocab(with_added_tokens=True).values()), bool)
         for token, number in self.model.get_vocab(with_added_tokens=False).items():
             self.ends[number] = token.endswith("</w>")
-        self.parts = WordCache(self.raw)
+        self.parts = WordCache(self.raw, ID_WORDS)
         probe = self.PROBE.replace("…", "")
         self.by_part = b"".join(map(self.raw, self.PARTS.findall(probe.lower()))) == self.raw(probe)
         self.by_end = all(self._ends_once(w) for w in ("ab", "zqxj", "été", "inandthion"))
