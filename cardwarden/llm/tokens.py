@@ -70,7 +70,8 @@ class MergeModel:
     texts of models with other rules, are encoded as a whole.
     """
 
-    SIMPLE = re.compile("[\\x00-\\x7fÀ-ÖØ-öø-ɏ]*")
+    #: Lower-case texts made of nothing but ASCII and the letters of PARTS.
+    SIMPLE = re.compile("[\\x00-\\x7fß-öø-ɏ]*")
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^ \\t-\\ra-zß-öø-ɏ0-9]+")
     PROBE = "Anna's, LIEF. It's 12.5 km!? été… ñ-x a.b (c) <d>\n\t 'll ''d \x1c ok;"
 
@@ -101,10 +102,10 @@ class MergeModel:
 
     def cut(self, text: str) -> list[str] | None:
         """Pre-tokens of a simple text; None for others."""
-        if not self.by_part or not self.SIMPLE.fullmatch(text):
+        if not self.by_part:
             return None
-        text = text.lower()
-        return None if any(a in text for a in self.added) else self.PARTS.findall(text)
+        text = text.lower()  # some capitals of Latin letters have small ones outside of SIMPLE
+        return None if not self.SIMPLE.fullmatch(text) or any(a in text for a in self.added) else self.PARTS.findall(text)
 
     def learn(self, parts: set[str]) -> None:
         """Encode the new runs of letters among many at once, told apart by their last tokens."""

@@ -54,6 +54,16 @@ def test_texts_as_a_whole():
     assert merges.encode([t or "" for t in TEXTS]) == [merges.raw(t or "") for t in TEXTS]
 
 
+def test_every_code_point_of_simple_texts():
+    merges = tokens.merge_model(MERGES)
+    simple = [c for c in map(chr, range(0x110000)) if merges.SIMPLE.fullmatch(c.lower())]
+    letters = {*simple, *map(chr, range(0x250))}
+    texts = [t for c in sorted(letters) for t in (f"{c}an is here", f"x'{c}a {c}{c}", f"a{c}1.{c}", f"don'{c} {c}'s")]
+    assert merges.encode(["Ɗan is here"]) == [merges.raw("Ɗan is here")]
+    assert [t for t, got in zip(texts, merges.encode(texts), strict=True) if got != merges.raw(t)] == []
+    assert merges.cut("Élan is here") and not merges.cut("Ɗan is here")
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr("cardwarden.llm.common.CACHE_WORDS", 10)
     cache = WordCache(len)
