@@ -101,9 +101,10 @@ class Benchmark:
         return key
 
     def windows(self, words: list[bytes]) -> dict[int, np.ndarray]:
-        """By window size, the starts of windows that hold a shingle of an item of that size.
+        """By item size, the starts of windows that hold a shingle of an item of that size.
 
-        A window without any shingle of the item has similarity 0 to it.
+        A window without any shingle of the item has similarity 0 to it. A text with fewer words
+        than the item is one window.
         """
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, len(words))
         known = ids > 0
@@ -123,18 +124,18 @@ class Benchmark:
             place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             for p, j in zip(at[keys[place] == key].tolist(), place[keys[place] == key].tolist(), strict=True):
                 for n in sizes[j]:
-                    if n <= len(words):
-                        mark = marks.setdefault(n, np.zeros(len(words) - n + 2, np.int32))
-                        mark[max(0, p + k - n)] += 1
-                        mark[min(p, len(words) - n) + 1] -= 1
+                    last = max(0, len(words) - n)
+                    mark = marks.setdefault(n, np.zeros(last + 2, np.int32))
+                    mark[max(0, p + k - n)] += 1
+                    mark[min(p, last) + 1] -= 1
         return {n: np.flatnonzero(np.cumsum(m[:-1]) > 0) for n, m in marks.items()}
 
     def search(self, text: str | None) -> list[tuple]:
         """Best window of every item that the text holds: (item, similarity, start, words, distance)."""
         words = byte_words(text)
         best: dict[int, tuple] = {}
-        for n, starts in self.windows(words).items():
-            group = self.sizes[n]
+        for size, starts in self.windows(words).items():
+            group, n = self.sizes[size], min(size, len(words))
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 first, last = int(run[0]), int(run[-1])
                 prints = window_prints(words[first:last + n], n, self.shingle)
@@ -207,10 +208,10 @@ def benchmark_matches(
     """One row for each item that a document holds: its best window.
 
     (id, item, ``similarity``, ``first_word``, ``n_words``, ``distance``). A document holds an item
-    if one of its windows of the item's number of words has a SimHash within ``radius`` of the
-    item's and a weighted similarity of at least ``minimum`` over runs of ``shingle`` words (an
-    item of fewer words is one run). Words are those between ASCII white space, A-Z in lower
-    case. Of equal windows the first is given.
+    if one of its windows of the item's number of words (the whole document if it has fewer) has a
+    SimHash within ``radius`` of the item's and a weighted similarity of at least ``minimum`` over
+    runs of ``shingle`` words (an item or document of fewer words is one run). Words are those
+    between ASCII white space, A-Z in lower case. Of equal windows the first is given.
 
     All windows that share a shingle with an item of their size are looked at, in whole texts. NULL
     and empty texts hold nothing, and NULL or empty items are held by none. Rows with NULL ids

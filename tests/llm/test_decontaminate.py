@@ -55,6 +55,35 @@ def test_all_windows(spark):
     assert clean.columns == awkward(spark, []).columns
 
 
+def plain_short(docs, items):
+    """Documents with fewer words than an item that are similar to it as a whole."""
+    weights = {i: dc.shingles(byte_words(t)) for i, t in items}
+    return {
+        (key, i) for key, text in docs for i, passage in items
+        if 0 < len(byte_words(text)) < len(byte_words(passage))
+        and dc.weighted_similarity(dc.shingles(byte_words(text)), weights[i]) >= 0.8
+    }
+
+
+def test_documents_shorter_than_the_item(spark):
+    docs, items = made()
+    for _, passage in items[:12]:
+        own = passage.split()
+        docs += [" ".join(own[:-2]), " ".join(own[1:-1]), " ".join(own[3:]), " ".join(own[:-1]).upper(), " ".join(own[-4:])]
+    docs += ["one two", "two three", "a b c d"]
+    benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], ITEM)
+    found = dc.benchmark_matches(awkward(spark, docs), benchmark).collect()
+    short = plain_short(enumerate(docs), items)
+    assert len(short) > 30 and {(r.doc_id, r.item_id) for r in found} == plain(enumerate(docs), items) | short
+    for r in found:
+        if (r.doc_id, r.item_id) in short:
+            words, passage = byte_words(docs[r.doc_id]), byte_words(dict(items)[r.item_id])
+            assert (r.first_word, r.n_words) == (0, len(words))
+            assert abs(dc.weighted_similarity(dc.shingles(words), dc.shingles(passage)) - r.similarity) < 1e-12
+    clean = dc.clean_documents(awkward(spark, docs), benchmark)
+    assert {r.doc_id for r in clean.collect()} == set(range(len(docs))) - {r.doc_id for r in found}
+
+
 def test_benchmark_in_blocks(spark, monkeypatch):
     docs, items = made()
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], ITEM)
