@@ -49,6 +49,29 @@ def notice(label: str, phrase: str, per_edit: int = CHARACTERS_PER_EDIT) -> Noti
     return Notice(label, phrase, edits, seeds, pattern)
 
 
+def gaps(spans: Sequence[Sequence[int]], taken: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans cover together, without the places taken; these are of one length and in order."""
+    merged: list[list[int]] = []
+    for low, high in sorted(spans):
+        if merged and low <= merged[-1][1]:
+            merged[-1][1] = max(high, merged[-1][1])
+        else:
+            merged.append([low, high])
+    out, at = [], 0
+    for low, high in merged:
+        while at < len(taken) and taken[at][0] < high:
+            start, stop = taken[at]
+            if low < start:
+                out.append((low, start))
+            low = max(low, stop)
+            if stop > high:
+                break
+            at += 1
+        if low < high:
+            out.append((low, high))
+    return out
+
+
 class Scanner:
     def __init__(self, notices: Sequence[tuple[str, str]]):
         self.notices = [notice(*n) for n in notices]
@@ -84,12 +107,14 @@ class Scanner:
                     else:
                         spans.append([low, high])
         for i, spans in windows.items():
-            n = self.notices[i]
-            for low, high in spans:
-                for m in n.pattern.finditer(joined, low, high, overlapped=False):
-                    a, b = m.start(), m.end()
-                    if not any(j == i and a < y and x < b for j, x, y in found):
-                        found[i, a, b] = sum(m.fuzzy_counts)
+            n, exact = self.notices[i], sorted((a, b) for j, a, b in found if j == i)
+            parts = gaps(spans, exact)
+            while parts:  # the best place of each part, then those before and behind it
+                low, high = parts.pop()
+                m = n.pattern.search(joined, low, high) if high - low >= len(n.phrase) - n.edits + 2 else None
+                if m:
+                    found[i, m.start(), m.end()] = sum(m.fuzzy_counts)
+                    parts += [(low, m.start()), (m.end(), high)]
         return len(words), self._spans(text, joined, found) if found else []
 
     def _spans(self, text: str, joined: str, found: dict) -> list[tuple]:

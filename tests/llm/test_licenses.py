@@ -78,6 +78,38 @@ def test_every_error_within_the_bound_is_found():
             assert label in hit, "".join(text)
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_every_place_with_edits_that_overlaps_no_other():
+    import random
+
+    scanner = licenses.Scanner([licenses.BASE[1]])
+    label, phrase = licenses.BASE[1]
+    worse, better = "general publik licence", "general public licence"
+    for text in (f"{worse} {better}", f"{better} {worse}", f"{worse} {phrase} {better} {worse}"):
+        assert len(scanner.scan(text)[1]) == (len(text) + 1) // (len(phrase) + 1)
+    rnd = random.Random(4)
+    pieces = [worse, better, phrase, "general", "public", "license", "genral", "publc license", "x"]
+    for _ in range(150):
+        words = " ".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 9))).split()
+        given = {(m[1], m[2]): m[5] for m in scanner.scan(" ".join(words))[1]}
+        for first in range(len(words)):
+            for last in range(first, min(first + 5, len(words))):
+                edits = distance(" ".join(words[first:last + 1]), phrase)
+                if (first, last) in given:
+                    assert given[first, last] == edits <= 2
+                elif edits <= 2:
+                    assert edits and any(first <= y and x <= last for x, y in given), words
+        assert all(b < c or d < a or (a, b) == (c, d) for a, b in given for c, d in given)
+
+
 def test_query_on_the_tables(spark):
     from cardwarden.llm.queries import op7_license_scan
 
