@@ -74,3 +74,24 @@ def test_recall_of_the_query(spark):
     found = sum(len({i for _, i in got[q]} & {i for _, i in near}) for q, near in expected.items())
     assert found >= 0.9 * sum(map(len, expected.values()))
     assert set(got) == set(expected) and all(len(v) == 5 for v in got.values())
+
+
+def test_recall_where_cells_are_skipped(spark):
+    from cardwarden.llm.queries import op2_neighbours
+
+    folder, spec = "/root/testdata/sf0.1", nn.IndexSpec()
+    vectors = table(spark, folder, "embeddings")
+    rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    index, halves, _ = nn.build_index(vectors, "vec_id", "embedding", spec)
+    sizes = {r.cell: r["count"] for r in index.groupBy("cell").count().collect()}
+    asked = index.where("vec_id % 50 = 0").toPandas()
+    wanted = max(spec.candidates, int(spec.share * len(rows)))
+    unit = nn.unit(nn.unpacked(asked["v"]))
+    cut, looked = halves[0].shape[1], []
+    one, two = nn.distances(unit[:, :cut], halves[0]), nn.distances(unit[:, cut:], halves[1])
+    for p, q in zip(one, two):
+        looked.append(sum(sizes[c] for c in nn.closest_cells(p, q, sizes, spec.cells, wanted)) / len(rows))
+    assert max(looked) < 0.9  # else the recall below says nothing
+    got, expected = results(op2_neighbours(spark, folder)), plain(rows, lambda i: i % 50 == 0)
+    found = sum(len({i for _, i in got[q]} & {i for _, i in near}) for q, near in expected.items())
+    assert found >= 0.9 * sum(map(len, expected.values()))
