@@ -11,8 +11,12 @@ from cardwarden.llm.licenses import BASE, license_scan
 from cardwarden.llm.lm import language_scores
 from cardwarden.llm.mixing import mix
 from cardwarden.llm.neighbours import nearest
+from cardwarden.llm.ngram_join import jaccard_components
+from cardwarden.llm.oracles import NGRAM_JOIN, PREFIX_TRIE, REPAIR
+from cardwarden.llm.prefix_trie import prefix_trie, rebuilt_keys
 from cardwarden.llm.quality import quality_keys
 from cardwarden.llm.records import binary_output
+from cardwarden.llm.repair import damaged_and_repaired
 from cardwarden.llm.simhash import near_duplicates
 from cardwarden.llm.suffixes import repeated_bytes
 from cardwarden.llm.tokens import token_counts
@@ -78,6 +82,18 @@ def op10_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_scores(table(spark, sf_dir, "documents"), held_out)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt_keys(table(spark, sf_dir, "conversations")))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_repeated_bytes": op1_repeated_bytes,
     "op2_neighbours": op2_neighbours,
@@ -89,6 +105,9 @@ QUERIES = {
     "op8_binary_output": op8_binary_output,
     "op9_simhash": op9_simhash,
     "op10_language_scores": op10_language_scores,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_ngram_join": op12_ngram_join,
+    "op13_repair": op13_repair,
 }
 
 # fixed values: weights in turn, share of the budget, repeats and seed are those of mixing.py
@@ -124,4 +143,7 @@ WITH rows_ AS (
 SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken
 FROM queued q LEFT JOIN taken t ON t.doc_id = q.doc_id
 """,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_ngram_join": NGRAM_JOIN,
+    "op13_repair": REPAIR,
 }
