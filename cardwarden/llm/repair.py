@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from os.path import commonprefix
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -18,7 +17,7 @@ ROLE_RULES = (("C", ""), ("C", "T"), ("C", "sT"), ("T", "Tua"), ("T", "ua"))
 WRITABLE = {"u": "user", "a": "assistant"}
 LEGAL_PAIRS = frozenset(["su", "ua", "au"])
 BLANKS = " \t\n\v\f\r"
-#: After so many turns the beginning that all readings share is put aside.
+#: After so many turns the edits so far are put aside, and only their order is kept.
 SETTLE = 64
 
 
@@ -96,10 +95,15 @@ class RoleGrammar:
 
 
 class Reading(NamedTuple):
-    """The cheapest way to one stack: what it cost, its edits, and the digest of what it keeps."""
+    """The cheapest way to one stack: what it cost, its edits, and the digest of what it keeps.
+
+    ``rank`` orders the edits put aside in ``before``, a chain of (chain, edits).
+    """
 
     cost: int
+    rank: int
     audit: str
+    before: tuple | None
     digest: object
     lines: int
 
@@ -113,29 +117,28 @@ class Repair:
 
     def __init__(self, grammar: RoleGrammar, costs: Costs):
         self.grammar, self.costs = grammar, costs
-        self.front = {s: Reading(0, "", hashlib.sha256(), 0) for s in grammar.bottom}
-        self.settled: list[str] = []
+        self.front = {s: Reading(0, 0, "", None, hashlib.sha256(), 0) for s in grammar.bottom}
         self.seen: set[bytes] = set()
         self.initials = ""
         self.turns = self.blank = self.duplicate = self.truncated = self.illegal = self.distinct = 0
         self.first = self.last = None
 
-    def _offer(self, made: dict, stack, cost, audit, origin, role, text) -> bool:
-        best = made.get(stack)
-        if best is not None and best[:2] <= (cost, audit):
-            return False
-        made[stack] = (cost, audit, origin, role, text)
-        return True
+    @staticmethod
+    def _offer(made: dict, stack: tuple, origin: Reading, price: int, edit: str, role: str | None, text: str) -> None:
+        """Keep a step to ``stack`` if it is the least one so far."""
+        step = (origin.cost + price, origin.rank, origin.audit + edit, origin, role, text)
+        if stack not in made or step[:3] < made[stack][:3]:
+            made[stack] = step
 
     @staticmethod
     def _read(step: tuple) -> Reading:
         """The reading after a chosen step; deleted turns leave the digest as it was."""
-        cost, audit, origin, role, text = step
+        cost, rank, audit, origin, role, text = step
         if role is None:
-            return Reading(cost, audit, origin.digest, origin.lines)
+            return Reading(cost, rank, audit, origin.before, origin.digest, origin.lines)
         digest = origin.digest.copy()
         digest.update(f"{chr(10) if origin.lines else ''}{role}:{text}".encode("utf-8", "surrogatepass"))
-        return Reading(cost, audit, digest, origin.lines + 1)
+        return Reading(cost, rank, audit, origin.before, digest, origin.lines + 1)
 
     def _inserted(self) -> None:
         """Offer every insert before the next turn, until none is an improvement."""
@@ -143,14 +146,21 @@ class Repair:
         while todo:
             made: dict = {}
             for stack in todo:
-                at = self.front[stack]
                 for initial, role in WRITABLE.items():
                     for after in self.grammar.shift(stack, initial):
-                        known = self.front.get(after)
-                        if known is None or (at.cost + self.costs.insert, at.audit + "I") < known[:2]:
-                            self._offer(made, after, at.cost + self.costs.insert, at.audit + "I", at, role, "")
-            self.front.update({stack: self._read(step) for stack, step in made.items()})
-            todo = list(made)
+                        self._offer(made, after, self.front[stack], self.costs.insert, "I", role, "")
+            better = {s: step for s, step in made.items() if s not in self.front or step[:3] < self.front[s][:3]}
+            self.front.update({stack: self._read(step) for stack, step in better.items()})
+            todo = list(better)
+
+    def _settle(self) -> None:
+        """Put the edits so far aside. All of them end with the same turn, so none begins another."""
+        order = {key: rank for rank, key in enumerate(sorted({(at.rank, at.audit) for at in self.front.values()}))}
+        chains: dict = {}
+        for stack, at in self.front.items():
+            key = at.rank, at.audit
+            chain = chains.setdefault(key, (at.before, at.audit))
+            self.front[stack] = at._replace(rank=order[key], audit="", before=chain)
 
     def turn(self, number, role: str, text: str) -> None:
         body = text.strip(BLANKS)
@@ -172,26 +182,28 @@ class Repair:
         made: dict = {}
         price = self.costs.truncated * cut
         for stack, at in self.front.items():
-            self._offer(made, stack, at.cost + self.costs.delete, at.audit + "D", at, None, None)
+            self._offer(made, stack, at, self.costs.delete, "D", None, "")
             if blank or repeated:
                 continue
             for after in self.grammar.shift(stack, initial):
-                self._offer(made, after, at.cost + price, at.audit + "K", at, role, text)
+                self._offer(made, after, at, price, "K", role, text)
             for letter, other in WRITABLE.items():
                 for after in self.grammar.shift(stack, letter):
-                    self._offer(made, after, at.cost + self.costs.rerole + price, at.audit + "R", at, other, text)
+                    self._offer(made, after, at, self.costs.rerole + price, "R", other, text)
         self.front = {stack: self._read(step) for stack, step in made.items()}
         if self.turns % SETTLE == 0:
-            shared = commonprefix([at.audit for at in self.front.values()])
-            self.settled.append(shared)
-            self.front = {s: at._replace(audit=at.audit[len(shared):]) for s, at in self.front.items()}
+            self._settle()
 
     def report(self) -> tuple:
         self._inserted()
-        best = min((at for s, at in self.front.items() if self.grammar.accepts(s)), key=lambda at: at[:2])
+        best = min((at for s, at in self.front.items() if self.grammar.accepts(s)), key=lambda at: at[:3])
+        edits, chain = [best.audit], best.before
+        while chain is not None:
+            chain, part = chain
+            edits.append(part)
         gaps = 0 if self.first is None else self.last - self.first + 1 - self.distinct
         return (gaps, self.blank, self.duplicate, self.truncated, self.illegal, best.cost,
-                "".join(self.settled) + best.audit, best.digest.hexdigest())
+                "".join(reversed(edits)), best.digest.hexdigest())
 
 
 REPORT = (
