@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.operators.staging import PARTITION, bronze_partition, latest_version
+from cardwarden.plans import ledger, publication
+from cardwarden.plans.lease import writer_lease
 
 BRONZE_TABLE = "bronze.cartoes_pagamento"
 KEY = "id"
@@ -44,57 +44,25 @@ def _months(df: DataFrame) -> set[str]:
     return {row[0] for row in df.select(PARTITION).distinct().collect()}
 
 
-def _pending(spark: SparkSession, table: str) -> list[str]:
-    """Prepared copies that wait to be swapped in; the catalog only lists complete ones."""
-    database, name = table.split(".")
-    found = spark.catalog.listTables(database, f"{name}__pending_*")
-    return sorted(f"{database}.{t.name}" for t in found)
-
-
-def _publish(spark: SparkSession, pending: str, table: str) -> None:
-    """Swap the prepared months into the table. Repeating it gives the same table."""
-    prepared = spark.table(pending)
-    filled = prepared.where(F.col(KEY).isNotNull())
-    emptied = sorted(_months(prepared) - _months(filled))
-    # the overwrite mode is set in a session of its own: the caller's settings stay untouched
-    session = spark.newSession()
-    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (
-        session.table(pending)
-        .where(F.col(KEY).isNotNull())
-        .select(*spark.table(table).columns)
-        .write.mode("overwrite")
-        .insertInto(table)
-    )
-    # months are emptied last: until then a moved transaction is there twice rather than not at all
-    for month in emptied:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION} = '{month}')")
-    spark.catalog.refreshTable(table)
-    spark.sql(f"DROP TABLE {pending}")
+def _publish(spark: SparkSession, note: str, table: str) -> None:
+    """Let the prepared version take over. Repeating it gives the same table."""
+    publication.finish_release(spark, note, [table])
 
 
 def recover(spark: SparkSession, table: str = BRONZE_TABLE) -> int:
     """Finish publications that a lost driver left half done."""
-    waiting = _pending(spark, table)
-    for pending in waiting:
-        _publish(spark, pending, table)
-    return len(waiting)
-
-
-def by_month(rows: DataFrame) -> DataFrame:
-    """Rows gathered by month for writing: few files a month, and a big month in many tasks."""
-    return rows.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, KEY)
+    return publication.recover(spark, table.split(".")[0], table)
 
 
-def upsert(incoming: DataFrame, table: str = BRONZE_TABLE) -> None:
-    """Replace or add the incoming rows by key, rewriting only the months they touch.
+def upsert(incoming: DataFrame, table: str = BRONZE_TABLE, load_id: str = "", once: bool = False) -> set[str]:
+    """Replace or add the incoming rows by key, writing only the months they touch, once.
 
     Touched are the months of the load and the months in which an older version of one of
-    its transactions lies. Their new content is written beside the table first (a table
-    cannot overwrite itself while it is read), with one keyless row per touched month that
-    tells an emptied month from an untouched one, and is then swapped in. ``incoming`` is
-    read several times and should be a written table. There must be one writer at a time, as a
-    second one would take the first one's pending copy for a lost one.
+    its transactions lies; they are returned, and noted in the ledger before they change. Their
+    new content is written to folders of its own, and the table's next version points to these
+    and to the untouched months. Readers see the old version until that takes over the name.
+    ``incoming`` is read several times and should be a written table. Writers wait for one another.
+    With ``once``, a load whose id the ledger has as done is not taken again.
     """
     spark = incoming.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
@@ -104,22 +72,28 @@ def upsert(incoming: DataFrame, table: str = BRONZE_TABLE) -> None:
     ).first()
     if keyless:
         raise MissingKeyError(f"{keyless} records of the load have no {KEY}")
-    if not spark.catalog.tableExists(table):
-        by_month(one_per_key(incoming)).write.partitionBy(PARTITION).saveAsTable(table)
-        return
-    recover(spark, table)
-    current = spark.table(table)
-    loaded = _months(incoming)
-
-    # older versions elsewhere: only ids are read, and only row groups in the load's id range
-    elsewhere = (
-        current.where(~F.col(PARTITION).isin(*loaded) & F.col(KEY).between(low, high))
-        .select(KEY, PARTITION)
-        .join(incoming.select(KEY).distinct(), KEY, "left_semi")
-    )
-    touched = loaded | _months(elsewhere)
-    merged = merge(current.where(F.col(PARTITION).isin(*touched)), incoming)
-    marks = spark.createDataFrame([(m,) for m in sorted(touched)], f"{PARTITION} STRING")
-    pending = f"{table}__pending_{uuid.uuid4().hex}"
-    by_month(merged.unionByName(marks, allowMissingColumns=True)).write.saveAsTable(pending)
-    _publish(spark, pending, table)
+    with writer_lease(spark, table):
+        recover(spark, table)
+        if once and ledger.is_done(spark, table, load_id):
+            return set()
+        loaded = _months(incoming)
+        if not publication.is_by_months(spark, table):  # none yet, or one of an older layout
+            current = [spark.table(table)] if spark.catalog.tableExists(table) else []
+            merged = merge(current[0], incoming) if current else one_per_key(incoming)
+            touched = loaded | (_months(current[0]) if current else set())
+            months = None
+        else:
+            current = spark.table(table)
+            # older versions elsewhere: only ids are read, and only row groups in the load's id range
+            elsewhere = (
+                current.where(~F.col(PARTITION).isin(*loaded) & F.col(KEY).between(low, high))
+                .select(KEY, PARTITION)
+                .join(incoming.select(KEY).distinct(), KEY, "left_semi")
+            )
+            touched = months = loaded | _months(elsewhere)
+            merged = merge(current.where(F.col(PARTITION).isin(*touched)), incoming)
+        publication.prepare_months(merged, table, months, KEY)
+        entry = ledger.begin(spark, table, load_id, touched)
+        _publish(spark, publication.open_release(spark, [table]), table)
+        ledger.finish(spark, table, entry, load_id)
+    return touched

@@ -14,10 +14,15 @@ from cardwarden.fixed_values import (
 from cardwarden.functions.dates import date_key
 from cardwarden.functions.keys import agency_key, bearer_key, supplier_key
 from cardwarden.functions.numbers import MONEY
+from cardwarden.operators.staging import PARTITION
+
+
+def _partition(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c == PARTITION]
 
 
 def fact_silver(staging: DataFrame) -> DataFrame:
-    """Transactions with hashed foreign keys."""
+    """Transactions with hashed foreign keys, and the month they are stored under if there is one."""
     return staging.select(
         "id_transacao",
         date_key(F.col("dt_transacao")).alias("sk_data"),
@@ -27,6 +32,7 @@ def fact_silver(staging: DataFrame) -> DataFrame:
         "vl_transacao",
         "desc_tipo_cartao",
         "_dlt_load_id",
+        *_partition(staging),
     )
 
 
@@ -78,6 +84,7 @@ def fact_gold(named: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("vl_transacao").cast(MONEY).alias("vl_transacao"),
         mean.cast(MONEY).alias("media_orgao"),
         z_score(F.col("vl_transacao"), mean, deviation).alias("z_score"),
+        *_partition(named),
     )
     return scored.withColumn(
         "ordem_severidade", severity(F.col("z_score"), F.col("vl_transacao"))

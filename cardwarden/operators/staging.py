@@ -32,7 +32,7 @@ def bronze_partition() -> Column:
 
 
 def parse(bronze: DataFrame) -> DataFrame:
-    """Typed and trimmed columns of every bronze row with an id."""
+    """Typed and trimmed columns of every bronze row with an id, and its partition if it has one."""
 
     def text(column: str, default: str):
         return blank_trimmed(F.col(column), default)
@@ -58,6 +58,7 @@ def parse(bronze: DataFrame) -> DataFrame:
         name("tipo_cartao__descricao", CARD_TYPE_STAGED).alias("desc_tipo_cartao"),
         "_dlt_load_id",
         "_dlt_id",
+        *[c for c in bronze.columns if c == PARTITION],
     )
 
 

@@ -6,7 +6,7 @@ import logging
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.fixed_values import (
@@ -20,14 +20,19 @@ from cardwarden.functions.periods import chosen_window
 from cardwarden.operators import bronze, calendar, dimensions, facts, iforest, quality, scoring
 from cardwarden.operators.features import feature_frame, gold_features, model_matrix
 from cardwarden.operators.normalize import flatten, normalize_records
-from cardwarden.operators.staging import stage
-from cardwarden.plans import warehouse
+from cardwarden.operators.staging import PARTITION, stage
+from cardwarden.plans import ledger, publication, warehouse
+from cardwarden.plans.lease import writer_lease
 from cardwarden.sources.landing import planned_months, read_pages, until_first_gap
 from cardwarden.sources.sample import read_sample
 from cardwarden.sources.scratch import materialize, scratch_run
 
 log = logging.getLogger(__name__)
 
+#: One refresh at a time writes silver and gold.
+REFRESH_LEASE = "silver.refresh"
+STATS_TOLERANCE = 1e-9
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -72,31 +77,94 @@ def ingest_landing(spark: SparkSession, root: str, settings: Settings) -> None:
     flat = flatten(normalize_records(pages.drop("mes", "pagina")), settings.load_id)
     landed = materialize(flat, "landed")
     bronze.require_records(landed, f"{first} to {last}")
-    bronze.upsert(landed)
+    bronze.upsert(landed, load_id=settings.load_id)
 
 
 def ingest_sample(spark: SparkSession, settings: Settings) -> None:
     """Upsert the built-in sample; its records are not normalised."""
-    bronze.upsert(materialize(flatten(read_sample(spark), settings.load_id), "sample"))
+    rows = materialize(flatten(read_sample(spark), settings.load_id), "sample")
+    bronze.upsert(rows, load_id=settings.load_id)
 
 
-def transform(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """Refresh silver and gold from bronze; every model reads written tables.
+@dataclass(frozen=True)
+class Build:
+    """Prepared next versions of the models: readable, but not yet under their names."""
+
+    models: dict[str, DataFrame]
+    tables: list[str]
+    #: Months that were restaged, None for all, and the loads they came from.
+    months: set[str] | None
+    loads: list[str]
+
+
+def _months_to_restage(spark: SparkSession, settings: Settings) -> tuple[set[str] | None, list[str]]:
+    """Months that loads touched since the last release, and these loads."""
+    fresh = ledger.not_taken(spark, bronze.BRONZE_TABLE, settings.cutoff)
+    tables = [warehouse.TABLES[m] for m in warehouse.BY_MONTHS] + [warehouse.STATS_TABLE]
+    if fresh is None or not all(spark.catalog.tableExists(t) for t in tables):
+        return None, ledger.entries(spark, bronze.BRONZE_TABLE)
+    rows = fresh.collect()  # one a load
+    return {m for row in rows for m in row.months}, [row.entry for row in rows]
+
+
+def _months_of_changed_agencies(named: DataFrame, stats: DataFrame) -> set[str]:
+    """Months with rows of agencies whose mean or deviation moved since the last release.
+
+    A late row moves the mean of its agency, and so the z-scores of that agency in every month.
+    Sums of doubles depend on their order, so a relative difference of 1e-9 counts as none.
+    """
+    spark = named.sparkSession
+    agency = "nome_orgao_superior"
+    now, last = stats.alias("now"), spark.table(warehouse.STATS_TABLE).alias("last")
+
+    def stays(column: str) -> Column:
+        a, b = F.col(f"now.{column}").cast("double"), F.col(f"last.{column}").cast("double")
+        return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= F.abs(b) * STATS_TOLERANCE, F.lit(False))
+
+    known = now.join(last, F.col(f"now.{agency}").eqNullSafe(F.col(f"last.{agency}")), "left")
+    moved = known.where(
+        F.col(f"last.{agency}").isNull() | ~(stays("media_gasto_orgao") & stays("stddev_gasto_orgao"))
+    )
+    months = named.join(moved.select(F.col(f"now.{agency}").alias(agency)), agency, "left_semi").select(PARTITION)
+    return {row[0] for row in months.distinct().collect()}  # one a month
+
+
+def build(spark: SparkSession, settings: Settings) -> Build:
+    """Prepare silver and gold from bronze, whole where they are small, by months where they are not.
 
+    Staging and both facts are kept by month of statement: only months that loads touched are
+    staged again, and in the gold fact also months with rows of an agency whose statistics moved.
     The upsert leaves one row an id in bronze, which the unique check on staging guards.
     """
     warehouse.create_layers(spark)
-    write = warehouse.refresh_table
-    staging = warehouse.stage_view(stage(spark.table(bronze.BRONZE_TABLE), settings.cutoff, one_version=True))
+    for layer in ("silver", "gold"):
+        publication.recover(spark, layer)
+    months, loads = _months_to_restage(spark, settings)
+    tables: list[str] = []
+
+    def coming(model: str, df: DataFrame) -> DataFrame:
+        tables.append(warehouse.TABLES.get(model, model))
+        return publication.prepare(df, tables[-1])
+
+    def coming_months(model: str, df: DataFrame, only: set[str] | None, *order: str) -> DataFrame:
+        tables.append(warehouse.TABLES[model])
+        return publication.prepare_months(df, tables[-1], only, *order)
+
+    def touched(df: DataFrame, only: set[str] | None) -> DataFrame:
+        return df if only is None else df.where(F.col(PARTITION).isin(*only))
+
+    source = touched(spark.table(bronze.BRONZE_TABLE), months)
+    staging = coming_months("stg_cpgf_despesas", stage(source, settings.cutoff, one_version=True), months, "id_transacao")
     models = {"stg_cpgf_despesas": staging}
     silver = {
         "dim_data": calendar.calendar(spark, settings.calendar_start, settings.calendar_end),
         "dim_orgaos": dimensions.dim_orgaos(staging),
         "dim_favorecidos": dimensions.dim_favorecidos(staging),
         "dim_portadores": dimensions.dim_portadores(staging),
-        "fct_gastos_cartao": facts.fact_silver(staging),
     }
-    models.update({name: write(df, name) for name, df in silver.items()})
+    models.update({name: coming(name, df) for name, df in silver.items()})
+    fact = facts.fact_silver(touched(staging, months))
+    models["fct_gastos_cartao"] = coming_months("fct_gastos_cartao", fact, months, "sk_data")
     gold = {
         "gold_dim_data": models["dim_data"],
         "gold_dim_orgaos": models["dim_orgaos"],
@@ -108,15 +176,45 @@ def transform(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
         ),
         "gold_dim_nivel_alerta": dimensions.dim_nivel_alerta(spark),
     }
-    models.update({name: write(df, name) for name, df in gold.items()})
+    models.update({name: coming(name, df) for name, df in gold.items()})
     named = facts.with_agency_name(models["fct_gastos_cartao"], models["gold_dim_orgaos"])
-    stats = materialize(facts.agency_stats(named), "agency_stats")
-    models["gold_fct_gastos_cartao"] = write(
-        facts.fact_gold(named, stats), "gold_fct_gastos_cartao"
+    stats = coming(warehouse.STATS_TABLE, facts.agency_stats(named))
+    gold_months = months if months is None else months | _months_of_changed_agencies(named, stats)
+    models["gold_fct_gastos_cartao"] = coming_months(
+        "gold_fct_gastos_cartao", facts.fact_gold(touched(named, gold_months), stats), gold_months, "sk_data"
     )
+    return Build(models, tables, months, loads)
+
+
+def publish(spark: SparkSession, settings: Settings, built: Build) -> dict[str, DataFrame]:
+    """Let the prepared models take over their names, all of them or, after a lost driver, at the next run."""
+    publication.release(spark, built.tables)
+    ledger.take(spark, built.loads, settings.cutoff, anew=built.months is None)
+    models = {model: spark.table(warehouse.TABLES[model]) for model in built.models}
+    models["stg_cpgf_despesas"].createOrReplaceTempView(warehouse.STAGING_VIEW)
     return models
 
 
+def transform(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """Refresh silver and gold from bronze without checks; every model reads written tables."""
+    warehouse.create_layers(spark)
+    with writer_lease(spark, REFRESH_LEASE):
+        return publish(spark, settings, build(spark, settings))
+
+
+def audited_transform(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """Refresh silver and gold; the declared checks run on the prepared versions.
+
+    A failing check raises and leaves all tables as they were. The prepared versions stay beside
+    them as ``…__next``, to look into, until the next run replaces them.
+    """
+    warehouse.create_layers(spark)
+    with writer_lease(spark, REFRESH_LEASE):
+        built = build(spark, settings)
+        quality.require_passed(quality.run_checks(built.models))
+        return publish(spark, settings, built)
+
+
 def score_features(features: DataFrame, settings: Settings) -> DataFrame | None:
     """Scores of a written feature table, or None where it is empty."""
     n_rows = features.count()
@@ -149,20 +247,19 @@ def detect_anomalies(spark: SparkSession, settings: Settings) -> dict:
 def refresh(spark: SparkSession, settings: Settings, landing: str | None = None) -> DataFrame:
     """One whole refresh; without a landing folder it runs on the built-in sample.
 
-    A failing anomaly run is logged and does not stop the refresh; a failing check and an
-    empty fact do. Returns the summary of the gold layer. Intermediate copies are removed at the
-    end, also on failure.
+    A failing check stops the refresh before any model changes, an empty fact after. A failing
+    anomaly run is logged and stops nothing. Returns the summary of the gold layer. Intermediate
+    copies are removed at the end, also on failure.
     """
     with scratch_run(spark):
         if landing is None:
             ingest_sample(spark, settings)
         else:
             ingest_landing(spark, landing, settings)
-        models = transform(spark, settings)
+        audited_transform(spark, settings)
         try:
             log.info("anomalies: %s", detect_anomalies(spark, settings))
         except Exception:
             log.exception("anomaly detection failed; the refresh goes on without new scores")
-        quality.require_passed(quality.run_checks(models))
         warehouse.require_fact(spark)
     return warehouse.layer_summary(spark)

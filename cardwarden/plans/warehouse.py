@@ -25,6 +25,10 @@ TABLES = {
     "gold_dim_nivel_alerta": "gold.dim_nivel_alerta",
     "gold_fct_gastos_cartao": "gold.fct_gastos_cartao",
 }
+#: Models kept by month of statement; the others are small and replaced whole.
+BY_MONTHS = ["stg_cpgf_despesas", "fct_gastos_cartao", "gold_fct_gastos_cartao"]
+#: Statistics behind the gold fact, kept to see which agencies moved.
+STATS_TABLE = "silver.agency_stats"
 SCORE_TABLE = "gold.score_anomalia_cartao"
 STAGING_VIEW = "stg_cpgf_despesas"
 SUMMARY_TABLES = [
@@ -76,22 +80,6 @@ def recover(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {table}__last RENAME TO {table}")
 
 
-def refresh_table(df: DataFrame, model: str) -> DataFrame:
-    """Full refresh of a model; returns the written table, whose size Spark then knows."""
-    return publish(df, TABLES[model])
-
-
-def stage_view(staging: DataFrame) -> DataFrame:
-    """Staging as a view over one written copy, which the next refresh replaces.
-
-    Four models read it. As a plain view each of them would repeat the shuffle that picks
-    the latest loads.
-    """
-    written = refresh_table(staging, STAGING_VIEW)
-    written.createOrReplaceTempView(STAGING_VIEW)
-    return written
-
-
 def save_scores(scores: DataFrame, table: str = SCORE_TABLE) -> int:
     """Overwrite the score table; an empty result leaves the old one alone.
 

@@ -8,21 +8,25 @@ from pyspark.sql.streaming import StreamingQuery
 from cardwarden.operators import bronze
 from cardwarden.operators.normalize import flatten, normalize_records
 from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
-from cardwarden.sources.scratch import materialize
+from cardwarden.sources.scratch import materialize, scratch_run
 
 
 def upsert_batch(load_prefix: str, table: str = bronze.BRONZE_TABLE):
-    """Sink function: the batch number makes the load id, so a repeated batch changes nothing.
+    """Sink function: the batch number makes the load id, and a batch in the ledger is not taken twice.
+
+    A batch that was cut off before its entry is repeated, which changes nothing. The copy of a
+    batch is removed with it.
 
     Load ids are compared as text. With an ISO day as ``load_prefix`` the stream's loads follow
     that day's batch load and precede the next day's: "2026-09-30" < "2026-09-30.000000001".
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        flat = flatten(normalize_records(batch.drop("mes", "pagina")), f"{load_prefix}.{number:09d}")
-        rows = materialize(flat, "batch")
-        if not rows.isEmpty():
-            bronze.upsert(rows, table)
+        load_id = f"{load_prefix}.{number:09d}"
+        with scratch_run(batch.sparkSession):
+            rows = materialize(flatten(normalize_records(batch.drop("mes", "pagina")), load_id), "batch")
+            if not rows.isEmpty():
+                bronze.upsert(rows, table, load_id, once=True)
 
     return write
 
