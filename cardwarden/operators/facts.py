@@ -14,6 +14,7 @@ from cardwarden.fixed_values import (
 from cardwarden.functions.dates import date_key
 from cardwarden.functions.keys import agency_key, bearer_key, supplier_key
 from cardwarden.functions.numbers import MONEY
+from cardwarden.operators.lookup import attach_attributes, hot_keys
 from cardwarden.operators.staging import PARTITION
 
 
@@ -100,12 +101,18 @@ def star_view(
     levels: DataFrame,
     scores: DataFrame | None = None,
 ) -> DataFrame:
-    """Fact with the attributes of its dimensions, and its score where one is given."""
+    """Fact with the attributes of its dimensions, and its score where one is given.
+
+    Suppliers and bearers are many and a few of them hold much of the fact, so these two joins
+    split hot keys by themselves; for the others Spark decides by the size of the dimension.
+    ``fact`` is read twice and should be a written table.
+    """
     wide = (
         fact.join(dates, "sk_data", "left")
         .join(orgaos, "sk_orgao", "left")
         .join(levels, "ordem_severidade", "left")
-        .join(favorecidos, "sk_favorecido", "left")
-        .join(portadores, "sk_portador", "left")
     )
+    hot = hot_keys(fact, ["sk_favorecido", "sk_portador"])
+    for key, dim in (("sk_favorecido", favorecidos), ("sk_portador", portadores)):
+        wide = attach_attributes(wide, dim, key, hot[key], "id_transacao")
     return wide if scores is None else wide.join(scores, "id_transacao", "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 LEDGER = "entry STRING, load_id STRING, state STRING, months ARRAY<STRING>"
 BEGUN, DONE = "begun", "done"
 TAKEN = "entry STRING, cutoff STRING"
-TAKEN_TABLE = "silver.loads_taken"
+TAKEN_TABLE = "silver.loads_taken"  # of the same namespace as bronze
 
 
 def ledger_table(bronze_table: str) -> str:
@@ -40,12 +40,12 @@ def is_done(spark: SparkSession, bronze_table: str, load_id: str) -> bool:
     return not spark.table(table).where((F.col("state") == DONE) & (F.col("load_id") == load_id)).isEmpty()
 
 
-def not_taken(spark: SparkSession, bronze_table: str, cutoff: str) -> DataFrame | None:
+def not_taken(spark: SparkSession, bronze_table: str, cutoff: str, taken_table: str = TAKEN_TABLE) -> DataFrame | None:
     """(entry, months) of loads that silver has not seen; None where silver must see everything."""
     ledger = ledger_table(bronze_table)
-    if not (spark.catalog.tableExists(TAKEN_TABLE) and spark.catalog.tableExists(ledger)):
+    if not (spark.catalog.tableExists(taken_table) and spark.catalog.tableExists(ledger)):
         return None
-    taken = spark.table(TAKEN_TABLE)
+    taken = spark.table(taken_table)
     if taken.isEmpty() or not taken.where(F.col("cutoff") != cutoff).isEmpty():
         return None
     return spark.table(ledger).where(F.col("state") == BEGUN).join(taken, "entry", "left_anti").select("entry", "months")
@@ -59,7 +59,9 @@ def entries(spark: SparkSession, bronze_table: str) -> list[str]:
     return [r.entry for r in spark.table(ledger).where(F.col("state") == BEGUN).select("entry").collect()]
 
 
-def take(spark: SparkSession, found: list[str], cutoff: str, anew: bool) -> None:
+def take(spark: SparkSession, found: list[str], cutoff: str, anew: bool, taken_table: str = TAKEN_TABLE) -> None:
     """Note that silver holds these loads; ``anew`` forgets the earlier ones."""
+    if not found and not anew:
+        return
     rows = spark.createDataFrame([(e, cutoff) for e in found], TAKEN).coalesce(1)
-    rows.write.mode("overwrite" if anew else "append").saveAsTable(TAKEN_TABLE)
+    rows.write.mode("overwrite" if anew else "append").saveAsTable(taken_table)

@@ -51,6 +51,11 @@ class Settings:
     calendar_end: str = CALENDAR_END
     forest: iforest.ForestSpec = field(default_factory=iforest.ForestSpec)
     model_version: str = MODEL_VERSION
+    #: Put before the names of the three databases, so that several warehouses can share a catalog.
+    namespace: str = ""
+
+    def at(self, table: str) -> str:
+        return self.namespace + table
 
 
 def window(spark: SparkSession, settings: Settings) -> tuple[str, str]:
@@ -77,13 +82,13 @@ def ingest_landing(spark: SparkSession, root: str, settings: Settings) -> None:
     flat = flatten(normalize_records(pages.drop("mes", "pagina")), settings.load_id)
     landed = materialize(flat, "landed")
     bronze.require_records(landed, f"{first} to {last}")
-    bronze.upsert(landed, load_id=settings.load_id)
+    bronze.upsert(landed, settings.at(bronze.BRONZE_TABLE), settings.load_id)
 
 
 def ingest_sample(spark: SparkSession, settings: Settings) -> None:
     """Upsert the built-in sample; its records are not normalised."""
     rows = materialize(flatten(read_sample(spark), settings.load_id), "sample")
-    bronze.upsert(rows, load_id=settings.load_id)
+    bronze.upsert(rows, settings.at(bronze.BRONZE_TABLE), settings.load_id)
 
 
 @dataclass(frozen=True)
@@ -99,23 +104,23 @@ class Build:
 
 def _months_to_restage(spark: SparkSession, settings: Settings) -> tuple[set[str] | None, list[str]]:
     """Months that loads touched since the last release, and these loads."""
-    fresh = ledger.not_taken(spark, bronze.BRONZE_TABLE, settings.cutoff)
+    source = settings.at(bronze.BRONZE_TABLE)
+    fresh = ledger.not_taken(spark, source, settings.cutoff, settings.at(ledger.TAKEN_TABLE))
     tables = [warehouse.TABLES[m] for m in warehouse.BY_MONTHS] + [warehouse.STATS_TABLE]
-    if fresh is None or not all(spark.catalog.tableExists(t) for t in tables):
-        return None, ledger.entries(spark, bronze.BRONZE_TABLE)
+    if fresh is None or not all(spark.catalog.tableExists(settings.at(t)) for t in tables):
+        return None, ledger.entries(spark, source)
     rows = fresh.collect()  # one a load
     return {m for row in rows for m in row.months}, [row.entry for row in rows]
 
 
-def _months_of_changed_agencies(named: DataFrame, stats: DataFrame) -> set[str]:
+def _months_of_changed_agencies(named: DataFrame, stats: DataFrame, last: DataFrame) -> set[str]:
     """Months with rows of agencies whose mean or deviation moved since the last release.
 
     A late row moves the mean of its agency, and so the z-scores of that agency in every month.
     Sums of doubles depend on their order, so a relative difference of 1e-9 counts as none.
     """
-    spark = named.sparkSession
     agency = "nome_orgao_superior"
-    now, last = stats.alias("now"), spark.table(warehouse.STATS_TABLE).alias("last")
+    now, last = stats.alias("now"), last.alias("last")
 
     def stays(column: str) -> Column:
         a, b = F.col(f"now.{column}").cast("double"), F.col(f"last.{column}").cast("double")
@@ -136,24 +141,24 @@ def build(spark: SparkSession, settings: Settings) -> Build:
     staged again, and in the gold fact also months with rows of an agency whose statistics moved.
     The upsert leaves one row an id in bronze, which the unique check on staging guards.
     """
-    warehouse.create_layers(spark)
+    warehouse.create_layers(spark, settings.namespace)
     for layer in ("silver", "gold"):
-        publication.recover(spark, layer)
+        publication.recover(spark, settings.at(layer))
     months, loads = _months_to_restage(spark, settings)
     tables: list[str] = []
 
     def coming(model: str, df: DataFrame) -> DataFrame:
-        tables.append(warehouse.TABLES.get(model, model))
+        tables.append(settings.at(warehouse.TABLES.get(model, model)))
         return publication.prepare(df, tables[-1])
 
     def coming_months(model: str, df: DataFrame, only: set[str] | None, *order: str) -> DataFrame:
-        tables.append(warehouse.TABLES[model])
+        tables.append(settings.at(warehouse.TABLES[model]))
         return publication.prepare_months(df, tables[-1], only, *order)
 
     def touched(df: DataFrame, only: set[str] | None) -> DataFrame:
         return df if only is None else df.where(F.col(PARTITION).isin(*only))
 
-    source = touched(spark.table(bronze.BRONZE_TABLE), months)
+    source = touched(spark.table(settings.at(bronze.BRONZE_TABLE)), months)
     staging = coming_months("stg_cpgf_despesas", stage(source, settings.cutoff, one_version=True), months, "id_transacao")
     models = {"stg_cpgf_despesas": staging}
     silver = {
@@ -179,7 +184,9 @@ def build(spark: SparkSession, settings: Settings) -> Build:
     models.update({name: coming(name, df) for name, df in gold.items()})
     named = facts.with_agency_name(models["fct_gastos_cartao"], models["gold_dim_orgaos"])
     stats = coming(warehouse.STATS_TABLE, facts.agency_stats(named))
-    gold_months = months if months is None else months | _months_of_changed_agencies(named, stats)
+    gold_months = months
+    if months is not None:
+        gold_months = months | _months_of_changed_agencies(named, stats, spark.table(settings.at(warehouse.STATS_TABLE)))
     models["gold_fct_gastos_cartao"] = coming_months(
         "gold_fct_gastos_cartao", facts.fact_gold(touched(named, gold_months), stats), gold_months, "sk_data"
     )
@@ -189,16 +196,16 @@ def build(spark: SparkSession, settings: Settings) -> Build:
 def publish(spark: SparkSession, settings: Settings, built: Build) -> dict[str, DataFrame]:
     """Let the prepared models take over their names, all of them or, after a lost driver, at the next run."""
     publication.release(spark, built.tables)
-    ledger.take(spark, built.loads, settings.cutoff, anew=built.months is None)
-    models = {model: spark.table(warehouse.TABLES[model]) for model in built.models}
-    models["stg_cpgf_despesas"].createOrReplaceTempView(warehouse.STAGING_VIEW)
+    ledger.take(spark, built.loads, settings.cutoff, built.months is None, settings.at(ledger.TAKEN_TABLE))
+    models = {model: spark.table(settings.at(warehouse.TABLES[model])) for model in built.models}
+    models["stg_cpgf_despesas"].createOrReplaceTempView(settings.at(warehouse.STAGING_VIEW))
     return models
 
 
 def transform(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     """Refresh silver and gold from bronze without checks; every model reads written tables."""
-    warehouse.create_layers(spark)
-    with writer_lease(spark, REFRESH_LEASE):
+    warehouse.create_layers(spark, settings.namespace)
+    with writer_lease(spark, settings.at(REFRESH_LEASE)):
         return publish(spark, settings, build(spark, settings))
 
 
@@ -208,8 +215,8 @@ def audited_transform(spark: SparkSession, settings: Settings) -> dict[str, Data
     A failing check raises and leaves all tables as they were. The prepared versions stay beside
     them as ``…__next``, to look into, until the next run replaces them.
     """
-    warehouse.create_layers(spark)
-    with writer_lease(spark, REFRESH_LEASE):
+    warehouse.create_layers(spark, settings.namespace)
+    with writer_lease(spark, settings.at(REFRESH_LEASE)):
         built = build(spark, settings)
         quality.require_passed(quality.run_checks(built.models))
         return publish(spark, settings, built)
@@ -229,13 +236,14 @@ def score_features(features: DataFrame, settings: Settings) -> DataFrame | None:
 
 def detect_anomalies(spark: SparkSession, settings: Settings) -> dict:
     """Score the gold fact into the satellite table."""
-    gold = gold_features(spark.table("gold.fct_gastos_cartao"), spark.table("gold.dim_data"))
+    fact, days = (spark.table(settings.at(warehouse.TABLES[m])) for m in ("gold_fct_gastos_cartao", "gold_dim_data"))
+    gold = gold_features(fact, days)
     features = materialize(feature_frame(materialize(gold, "gold_features")), "features")
     scores = score_features(features, settings)
     if scores is None:
         return {"status": "skipped", "count": 0}
-    warehouse.save_scores(scores)
-    totals = scoring.run_summary(spark.table(warehouse.SCORE_TABLE)).first()
+    warehouse.save_scores(scores, settings.at(warehouse.SCORE_TABLE))
+    totals = scoring.run_summary(spark.table(settings.at(warehouse.SCORE_TABLE))).first()
     return {
         "status": "success",
         "total_processado": totals["total_processado"],
@@ -261,5 +269,5 @@ def refresh(spark: SparkSession, settings: Settings, landing: str | None = None)
             log.info("anomalies: %s", detect_anomalies(spark, settings))
         except Exception:
             log.exception("anomaly detection failed; the refresh goes on without new scores")
-        warehouse.require_fact(spark)
-    return warehouse.layer_summary(spark)
+        warehouse.require_fact(spark, settings.at(warehouse.TABLES["gold_fct_gastos_cartao"]))
+    return warehouse.layer_summary(spark, namespace=settings.namespace)

@@ -389,6 +389,13 @@ STEPS = [
     staging_sql("rawstaging", "raw_bronze"), CALENDAR, DIMENSIONS, FACTS, FEATURES, SCORED, DEFECTS,
 ]
 SHARED = "WITH " + ",\n".join(step.strip() for step in STEPS) + "\n"
+#: The same steps over a bronze table that holds one row an id, the one of the latest load.
+NEWEST = """newest AS (
+  SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY id ORDER BY _dlt_load_id DESC) = 1
+)"""
+REFRESHED = "WITH " + ",\n".join(step.strip() for step in [
+    PARTIES, FEED, RAW, NORM, BRONZE, NEWEST, staging_sql("staging", "newest"), CALENDAR, DIMENSIONS, FACTS,
+]) + "\n"
 
 
 # -- one statement per query --------------------------------------------------------------
@@ -682,4 +689,38 @@ ORACLES: dict[str, str] = {
             ("gold.dim_nivel_alerta", "niveis"),
         ]
     ),
+    "landing_pages_array": SHARED + LANDED.format(last_page=7) + """
+        SELECT kept.mes, kept.pagina, raw.id, raw.mes_extrato AS "mesExtrato", raw.valor_transacao AS "valorTransacao",
+          raw.tipo_codigo, raw.est_nome AS nome
+        FROM kept JOIN good ON kept.mes = good.mes AND kept.pagina = good.pagina
+        JOIN raw ON raw.id = kept.k AND raw.load = 1""",
+    "volume_gate": SHARED + LANDED.format(last_page=7) + """, found AS (
+          SELECT kept.mes FROM kept JOIN good ON kept.mes = good.mes AND kept.pagina = good.pagina
+        )
+        SELECT '1/1997' AS inicio, false AS recusada, count(*) AS n_bronze, count(DISTINCT mes) AS n_meses FROM found WHERE mes < '1999'
+        UNION ALL SELECT '1/2030', true, count(*), count(DISTINCT mes) FROM found WHERE mes < '1999'
+        UNION ALL SELECT '1/1999', false, count(*), count(DISTINCT mes) FROM found""",
+    "staged_view": SHARED + "SELECT * FROM staging",
+    "gold_refreshed": REFRESHED + "SELECT * FROM gold",
+    "gold_layers": REFRESHED + " UNION ALL ".join(
+        f"SELECT '{model}' AS modelo, '{table}' AS tabela, count(*) AS n_rows, true AS no_catalogo, "
+        f"{0 if model in ('gold_dim_data', 'gold_dim_orgaos') else 'CAST(NULL AS BIGINT)'} AS linhas_diferentes FROM {step}"
+        for model, table, step in [
+            ("stg_cpgf_despesas", "silver.stg_cpgf_despesas", "staging"), ("dim_data", "silver.dim_data", "calendario"),
+            ("dim_orgaos", "silver.dim_orgaos", "orgaos"), ("dim_favorecidos", "silver.dim_favorecidos", "favorecidos"),
+            ("dim_portadores", "silver.dim_portadores", "portadores"), ("fct_gastos_cartao", "silver.fct_gastos_cartao", "fato"),
+            ("gold_dim_data", "gold.dim_data", "calendario"), ("gold_dim_orgaos", "gold.dim_orgaos", "orgaos"),
+            ("gold_dim_favorecidos", "gold.dim_favorecidos", "favorecidos"),
+            ("gold_dim_portadores", "gold.dim_portadores", "portadores"), ("gold_dim_nivel_alerta", "gold.dim_nivel_alerta", "niveis"),
+            ("gold_fct_gastos_cartao", "gold.fct_gastos_cartao", "gold"),
+        ]
+    ),
+    "layer_catalog": REFRESHED + " UNION ALL ".join(
+        f"SELECT {scored} AS com_scores, '{name}' AS table_name, count(*) AS n_rows FROM {step}"
+        for scored in ("false", "true") for name, step in [
+            ("gold.fct_gastos_cartao", "gold"), ("gold.dim_data", "calendario"), ("gold.dim_orgaos", "orgaos"),
+            ("gold.dim_favorecidos", "favorecidos"), ("gold.dim_portadores", "portadores"),
+            ("gold.dim_nivel_alerta", "niveis"), *([("gold.score_anomalia_cartao", "gold WHERE vl_transacao IS NOT NULL")] * (scored == "true")),
+        ]
+    ),
 }

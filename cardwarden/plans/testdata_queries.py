@@ -16,12 +16,26 @@ from cardwarden.functions.periods import chosen_window, normalize_period, statem
 from cardwarden.functions.text import sanitize_name
 from cardwarden.operators import calendar as cal
 from cardwarden.operators import dimensions, facts, iforest, quality, scoring
-from cardwarden.operators.bronze import merge, upsert
+from cardwarden.operators.bronze import BRONZE_TABLE, EmptyLoadError, merge, require_records, upsert
 from cardwarden.operators.features import feature_frame, gold_features, model_matrix
 from cardwarden.operators.normalize import flatten, normalize_records
-from cardwarden.operators.staging import stage
-from cardwarden.plans.warehouse import EmptyFactError, count_rows, publish, require_fact, save_scores
+from cardwarden.operators.staging import PARTITION, bronze_partition, stage
+from cardwarden.plans import publication
+from cardwarden.plans.refresh import Settings, transform
+from cardwarden.plans.warehouse import (
+    LAYERS,
+    SCORE_TABLE,
+    STAGING_VIEW,
+    TABLES,
+    EmptyFactError,
+    count_rows,
+    layer_summary,
+    publish,
+    require_fact,
+    save_scores,
+)
 from cardwarden.sources.landing import month_plan, read_landing
+from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
 from cardwarden.sources.scratch import materialize, scratch_path
 from cardwarden.sources.testdata import (
     CALENDAR_END,
@@ -183,6 +197,56 @@ def q_landing_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("mes", "pagina").agg(F.count("*").alias("n"), F.min("id").alias("menor_id"))
 
 
+ARRAY_IDS = 3000
+
+
+def land_arrays(spark: SparkSession, sf_dir: str) -> str:
+    """The same pages as files that each hold one array, or one object where there is one record.
+
+    A file holds records of ``ARRAY_IDS`` ids at most; a page has as many files as it needs.
+    """
+    rows = spark.read.json(land_pages(spark, sf_dir), schema=f"{RAW_RECORD}, {LANDING_PARTITIONS}")
+    texts = rows.groupBy("mes", "pagina", (F.col("id") / ARRAY_IDS).cast("bigint")).agg(
+        F.collect_list(F.to_json(F.struct(*[c for c in rows.columns if c not in ("mes", "pagina")]))).alias("texts")
+    )
+    whole = F.when(F.size("texts") == 1, F.element_at("texts", 1)).otherwise(
+        F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("]"))
+    )
+    path = scratch_path(spark, "arrays")
+    files = texts.select("mes", "pagina", whole.alias("value"))
+    files.write.partitionBy("mes", "pagina").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def q_landing_pages_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files that are whole arrays or single objects."""
+    rows = read_landing(spark, land_arrays(spark, sf_dir), "1/1997", "199912")
+    return rows.select(
+        "mes", "pagina", "id", "mesExtrato", "valorTransacao", F.col("tipoCartao.codigo").alias("tipo_codigo"),
+        F.col("estabelecimento.nome").alias("nome"),
+    )
+
+
+def q_volume_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A period without records is refused and leaves bronze alone; the next one is taken."""
+    with throw_away_database(spark) as database:
+        pages, name = land_pages(spark, sf_dir), f"{database}.cartoes"
+        states = []
+        for first, last in (("1/1997", "199812"), ("1/2030", "3/2030"), ("1/1999", "199912")):
+            landed = read_landing(spark, pages, first, last, whole_files=False).drop("mes", "pagina")
+            rows = materialize(flatten(normalize_records(landed), first), "landed")
+            refused = False
+            try:
+                require_records(rows, f"{first} to {last}")
+                upsert(rows, name, first)
+            except EmptyLoadError:
+                refused = True
+            state = spark.table(name).agg(F.count("*").alias("n_bronze"), F.count_distinct("mes").alias("n_meses"))
+            state = state.select(F.lit(first).alias("inicio"), F.lit(refused).alias("recusada"), "*")
+            states.append(materialize(state, "state"))
+        return quality.union_all(states)
+
+
 def q_normalize_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defaults, document precedence and alternate agency paths."""
     r = normalize_records(raw_records(spark, sf_dir, (1,)))
@@ -320,6 +384,19 @@ def q_staging_unnormalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(flatten(raw_records(spark, sf_dir), F.col("_load")), CUTOFF)
 
 
+def q_staged_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging through its view over a table of months, by SQL."""
+    rows = bronze(spark, sf_dir).withColumn(PARTITION, bronze_partition())
+    with throw_away_database(spark) as database:
+        name, view = f"{database}.stg", f"stg_{database}"
+        publication.prepare_months(stage(rows, CUTOFF), name, None, "id_transacao")
+        publication.release(spark, [name])
+        spark.table(name).drop(PARTITION).createOrReplaceTempView(view)
+        found = materialize(spark.sql(f"SELECT * FROM {view}"), "staged_view")
+        spark.catalog.dropTempView(view)
+        return found
+
+
 # -- dimensions and facts ----------------------------------------------------------------
 
 
@@ -389,22 +466,87 @@ def q_severity_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dim_nivel_alerta(spark).join(per_level, "ordem_severidade", "left")
 
 
-def q_star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact with the attributes of all five dimensions."""
+def star(spark: SparkSession, sf_dir: str, scores: DataFrame | None = None) -> DataFrame:
     staging = written_staging(spark, sf_dir)
     orgaos = materialize(dimensions.dim_orgaos(staging), "orgaos")
     favorecidos = materialize(dimensions.dim_favorecidos(staging), "favorecidos")
     portadores = materialize(dimensions.dim_portadores(staging), "portadores")
     return facts.star_view(
-        gold_fact(staging, orgaos),
+        materialize(gold_fact(staging, orgaos), "gold"),
         feed_calendar(spark),
         orgaos,
         dimensions.without_documents(favorecidos, "sk_favorecido", "nome_favorecido"),
         dimensions.without_documents(portadores, "sk_portador", "nome_portador"),
         dimensions.dim_nivel_alerta(spark),
+        scores,
     )
 
 
+def q_star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact with the attributes of all five dimensions."""
+    return star(spark, sf_dir)
+
+
+@contextmanager
+def warehouse_of_feed(spark: SparkSession, sf_dir: str) -> Iterator[Settings]:
+    """Three databases of its own that the three loads were refreshed into, one after another.
+
+    The feed has amounts that cannot be read, so the checks are left out.
+    """
+    settings = Settings(
+        load_id="", as_of=RUN_TS.date(), run_ts=RUN_TS, cutoff=CUTOFF, calendar_start=CALENDAR_START,
+        calendar_end=CALENDAR_END, namespace=f"cardwarden_{uuid.uuid4().hex}_",
+    )
+    try:
+        for load in LOADS:
+            rows = materialize(bronze(spark, sf_dir, (load,)), "load")
+            upsert(rows, settings.at(BRONZE_TABLE), f"load-00{load}")
+            if load != LOADS[1]:  # the second load waits for the next refresh
+                transform(spark, settings)
+        yield settings
+    finally:
+        spark.catalog.dropTempView(settings.at(STAGING_VIEW))
+        for layer in LAYERS:
+            spark.sql(f"DROP DATABASE IF EXISTS {settings.at(layer)} CASCADE")
+
+
+def q_gold_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after three loads and two refreshes by touched months, as after one of everything."""
+    with warehouse_of_feed(spark, sf_dir) as settings:
+        return materialize(spark.table(settings.at("gold.fct_gastos_cartao")).drop(PARTITION), "gold_refreshed")
+
+
+def q_gold_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model under its layer and name, with its rows; the copies hold what silver holds."""
+    with warehouse_of_feed(spark, sf_dir) as settings:
+        tables = {model: settings.at(name) for model, name in TABLES.items()}
+        counts = count_rows({model: spark.table(name) for model, name in tables.items()})
+        named = F.create_map(*[F.lit(x) for pair in TABLES.items() for x in pair])
+        listed = {f"{layer}.{t.name}" for layer in LAYERS for t in spark.catalog.listTables(settings.at(layer))}
+        copies = {
+            model: spark.table(tables[model]).exceptAll(spark.table(tables[model.removeprefix("gold_")])).count()
+            for model in ("gold_dim_data", "gold_dim_orgaos")
+        }  # one number a copy
+        differ = F.create_map(*[F.lit(x) for pair in copies.items() for x in pair])
+        return materialize(counts.select(
+            F.col("table_name").alias("modelo"), named[F.col("table_name")].alias("tabela"), "n_rows",
+            named[F.col("table_name")].isin(*listed).alias("no_catalogo"),
+            differ[F.col("table_name")].alias("linhas_diferentes"),
+        ), "layers")
+
+
+def q_layer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer summary from the catalog, before and after the scores are there."""
+    with warehouse_of_feed(spark, sf_dir) as settings:
+        before = materialize(layer_summary(spark, namespace=settings.namespace), "before")
+        fact, days = (spark.table(settings.at(f"gold.{t}")) for t in ("fct_gastos_cartao", "dim_data"))
+        features = feature_frame(materialize(gold_features(fact, days), "gold_features"))
+        scored = materialize(scoring.scale_scores(given_scores(features)), "scored")
+        save_scores(scoring.flag(scored, RUN_TS), settings.at(SCORE_TABLE))
+        after = materialize(layer_summary(spark, namespace=settings.namespace), "after")
+        return before.select(F.lit(False).alias("com_scores"), "*").unionByName(after.select(F.lit(True).alias("com_scores"), "*"))
+
+
 # -- anomaly model -----------------------------------------------------------------------
 
 
@@ -428,9 +570,7 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_star_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star view with the score satellite."""
-    return q_star_view(spark, sf_dir).join(
-        q_score_tail(spark, sf_dir).drop("dt_processamento"), "id_transacao", "left"
-    )
+    return star(spark, sf_dir, q_score_tail(spark, sf_dir).drop("dt_processamento"))
 
 
 def q_score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from cardwarden.operators.quality import union_all
 from cardwarden.sources.schemas import SCORES
 from cardwarden.sources.scratch import materialize
 
+LAYERS = ["bronze", "silver", "gold"]
 # fixed values: table of each model; gold models lose their prefix
 TABLES = {
     "stg_cpgf_despesas": "silver.stg_cpgf_despesas",
@@ -46,9 +47,9 @@ class EmptyFactError(RuntimeError):
     """The gold fact holds no rows."""
 
 
-def create_layers(spark: SparkSession) -> None:
-    for layer in ("bronze", "silver", "gold"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+def create_layers(spark: SparkSession, namespace: str = "") -> None:
+    for layer in LAYERS:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}{layer}")
 
 
 def publish(df: DataFrame, table: str) -> DataFrame:
@@ -103,10 +104,11 @@ def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def layer_summary(spark: SparkSession, tables: list[str] | None = None) -> DataFrame:
+def layer_summary(spark: SparkSession, tables: list[str] | None = None, namespace: str = "") -> DataFrame:
     """Row counts of the gold tables that exist; the scores may not exist yet."""
-    names = [t for t in tables or SUMMARY_TABLES if t != SCORE_TABLE or spark.catalog.tableExists(t)]
-    return count_rows({t: spark.table(t) for t in names})
+    at = {t: namespace + t for t in tables or SUMMARY_TABLES}
+    names = [t for t in at if t != SCORE_TABLE or spark.catalog.tableExists(at[t])]
+    return count_rows({t: spark.table(at[t]) for t in names})
 
 
 def require_fact(spark: SparkSession, table: str = "gold.fct_gastos_cartao") -> int:
