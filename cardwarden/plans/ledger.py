@@ -65,3 +65,13 @@ def take(spark: SparkSession, found: list[str], cutoff: str, anew: bool, taken_t
         return
     rows = spark.createDataFrame([(e, cutoff) for e in found], TAKEN).coalesce(1)
     rows.write.mode("overwrite" if anew else "append").saveAsTable(taken_table)
+
+
+def pages_table(bronze_table: str) -> str:
+    return f"{bronze_table}__pages"
+
+
+def add_pages(report: DataFrame, bronze_table: str, load_id: str) -> None:
+    """Note the pages of a load, (mes, pagina, n_rows, kept): also those behind a gap, which it dropped."""
+    rows = report.select(F.lit(load_id).alias("load_id"), "mes", "pagina", "n_rows", "kept")
+    rows.coalesce(1).write.mode("append").saveAsTable(pages_table(bronze_table))

@@ -23,7 +23,7 @@ from cardwarden.operators.normalize import flatten, normalize_records
 from cardwarden.operators.staging import PARTITION, stage
 from cardwarden.plans import ledger, publication, warehouse
 from cardwarden.plans.lease import writer_lease
-from cardwarden.sources.landing import planned_months, read_pages, until_first_gap
+from cardwarden.sources.landing import page_report, planned_months, read_pages, until_first_gap
 from cardwarden.sources.sample import read_sample
 from cardwarden.sources.scratch import materialize, scratch_run
 
@@ -73,16 +73,22 @@ def window(spark: SparkSession, settings: Settings) -> tuple[str, str]:
 def ingest_landing(spark: SparkSession, root: str, settings: Settings) -> None:
     """Upsert the landed pages of the window into bronze.
 
-    The good pages are found first; only their rows are then normalised and written, and the
-    upsert reads that copy.
+    Each file is parsed once: its records are normalised and written with their page, and the
+    gap search and the upsert read that copy. The pages found, with their rows and whether they
+    were kept, are added to the page ledger.
     """
     first, last = window(spark, settings)
     months = planned_months(spark, first, last)
-    pages = until_first_gap(read_pages(spark, root, months, settings.max_pages, settings.whole_files))
-    flat = flatten(normalize_records(pages.drop("mes", "pagina")), settings.load_id)
+    pages = read_pages(spark, root, months, settings.max_pages, settings.whole_files)
+    page = {"_mes": "mes", "_pagina": "pagina"}  # a leading _ lets columns travel along
+    raw = pages.withColumnsRenamed({name: carried for carried, name in page.items()})
+    flat = flatten(normalize_records(raw), settings.load_id, keep=list(page)).withColumnsRenamed(page)
     landed = materialize(flat, "landed")
-    bronze.require_records(landed, f"{first} to {last}")
-    bronze.upsert(landed, settings.at(bronze.BRONZE_TABLE), settings.load_id)
+    report = page_report(landed)
+    good = until_first_gap(landed, report).drop("mes", "pagina")
+    bronze.require_records(good, f"{first} to {last}")
+    bronze.upsert(good, settings.at(bronze.BRONZE_TABLE), settings.load_id)
+    ledger.add_pages(report, settings.at(bronze.BRONZE_TABLE), settings.load_id)
 
 
 def ingest_sample(spark: SparkSession, settings: Settings) -> None:

@@ -207,3 +207,16 @@ def test_batch_copies_are_removed(spark, clean, tmp_path, monkeypatch):
     raw = records(spark, (0, {})).withColumns({"mes": F.lit("2026-01"), "pagina": F.lit(1)})
     upsert_batch("s")(raw, 0)
     assert not list((tmp_path / "cardwarden").iterdir())
+
+
+def test_pages_are_noted(spark, clean, tmp_path):
+    for page, place in ((1, 0), (1, 1), (2, 2), (4, 3)):
+        folder = tmp_path / "mes=2026-01" / f"pagina={page}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{place}.json").write_text(f"[{sample_json()[place]}]")
+    refresh.ingest_landing(spark, str(tmp_path), settings("1", first_month="1/2026", last_month="1/2026"))
+    noted = spark.table(ledger.pages_table(bronze.BRONZE_TABLE)).orderBy("pagina").collect()
+    assert [tuple(r) for r in noted] == [
+        ("1", "2026-01", 1, 2, True), ("1", "2026-01", 2, 1, True), ("1", "2026-01", 4, 1, False),
+    ]
+    assert sorted(r.id for r in spark.table(bronze.BRONZE_TABLE).collect()) == [7000001, 7000002, 7000003]
