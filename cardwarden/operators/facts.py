@@ -15,11 +15,11 @@ from cardwarden.functions.dates import date_key
 from cardwarden.functions.keys import agency_key, bearer_key, supplier_key
 from cardwarden.functions.numbers import MONEY
 from cardwarden.operators.lookup import attach_attributes, hot_keys
-from cardwarden.operators.staging import PARTITION
+from cardwarden.operators.staging import MONTH
 
 
 def _partition(rows: DataFrame) -> list[str]:
-    return [c for c in rows.columns if c == PARTITION]
+    return [c for c in rows.columns if c == MONTH]
 
 
 def fact_silver(staging: DataFrame) -> DataFrame:

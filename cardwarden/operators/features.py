@@ -33,13 +33,14 @@ def gold_features(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def feature_frame(gold: DataFrame) -> DataFrame:
+def feature_frame(gold: DataFrame, overall_mean: float | None = None) -> DataFrame:
     """Ratio to the agency mean and the frequencies of supplier and bearer.
 
     A mean that is 0 or missing is replaced by the overall mean, a ratio that still cannot
-    be formed by 1.0. ``gold`` is read several times and should be a written table.
+    be formed by 1.0. ``gold`` is read several times and should be a written table; pass its mean
+    amount as ``overall_mean`` if it is known from writing it.
     """
-    overall = gold.agg(F.avg("vl_transacao")).scalar()
+    overall = gold.agg(F.avg("vl_transacao")).scalar() if overall_mean is None else F.lit(overall_mean)
     safe_mean = F.coalesce(F.nullif(F.col("media_orgao"), F.lit(0.0)), overall)
     ratio = F.coalesce(F.try_divide(F.col("vl_transacao"), safe_mean), F.lit(1.0))
     rows = gold.withColumn("razao_media_orgao", ratio)

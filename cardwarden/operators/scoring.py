@@ -22,12 +22,18 @@ from cardwarden.fixed_values import (
 from cardwarden.functions.numbers import round4_even
 
 
-def scale_scores(rows: DataFrame) -> DataFrame:
-    """Raw scores between 0 and 1 in four decimals; all equal gives 0.0 throughout."""
-    span = rows.agg(
-        F.struct(F.min("raw_score").alias("low"), F.max("raw_score").alias("high"))
-    ).scalar()
-    low, high = span.getField("low"), span.getField("high")
+def scale_scores(rows: DataFrame, span: tuple[float, float] | None = None) -> DataFrame:
+    """Raw scores between 0 and 1 in four decimals; all equal gives 0.0 throughout.
+
+    Least and greatest score are looked up unless they are known as ``span``.
+    """
+    if span is None:
+        found = rows.agg(
+            F.struct(F.min("raw_score").alias("low"), F.max("raw_score").alias("high"))
+        ).scalar()
+        low, high = found.getField("low"), found.getField("high")
+    else:
+        low, high = F.lit(span[0]), F.lit(span[1])
     scaled = F.coalesce(F.try_divide(F.col("raw_score") - low, high - low), F.lit(0.0))
     return rows.withColumn("anomaly_score", round4_even(scaled))
 

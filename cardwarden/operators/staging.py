@@ -19,6 +19,8 @@ from cardwarden.functions.periods import statement_month
 from cardwarden.functions.text import blank_trimmed
 
 PARTITION = "mes"
+#: The partition under which staging and the facts keep a row; the calendar has a column ``mes``.
+MONTH = "mes_extrato"
 NO_MONTH = "outros"
 
 
@@ -58,7 +60,7 @@ def parse(bronze: DataFrame) -> DataFrame:
         name("tipo_cartao__descricao", CARD_TYPE_STAGED).alias("desc_tipo_cartao"),
         "_dlt_load_id",
         "_dlt_id",
-        *[c for c in bronze.columns if c == PARTITION],
+        *[F.col(c).alias(MONTH) for c in bronze.columns if c == PARTITION],
     )
 
 

@@ -33,8 +33,8 @@ def month_folders(spark: SparkSession, table: str) -> dict[str, str]:
     """Where each month of a table lies."""
     found = {}
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        month = row.partition.removeprefix(f"{PARTITION}=")
-        told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({PARTITION} = '{month}')").collect()
+        column, month = row.partition.split("=", 1)
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({column} = '{month}')").collect()
         found[month] = next(r.data_type for r in told if r.col_name == "Location")
     return found
 
@@ -44,12 +44,12 @@ def is_by_months(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "EXTERNAL"
 
 
-def by_month(rows: DataFrame, *order: str) -> DataFrame:
+def by_month(rows: DataFrame, column: str, *order: str) -> DataFrame:
     """Rows gathered by month for writing: few files a month, and a big month in many tasks.
 
     Files are sorted by ``order``, so that a reader's limits on it skip parts of a month.
     """
-    return rows.hint("rebalance", F.col(PARTITION)).sortWithinPartitions(PARTITION, *order)
+    return rows.hint("rebalance", F.col(column)).sortWithinPartitions(column, *order)
 
 
 def prepare(df: DataFrame, table: str) -> DataFrame:
@@ -60,9 +60,13 @@ def prepare(df: DataFrame, table: str) -> DataFrame:
     return spark.table(next_name(table))
 
 
-def prepare_months(df: DataFrame, table: str, months: set[str] | None, *order: str) -> DataFrame:
+def prepare_months(
+    df: DataFrame, table: str, months: set[str] | None, *order: str, column: str = PARTITION
+) -> DataFrame:
     """The next version of a table by months: ``df`` in place of ``months``, all others as they are.
 
+    Its months are the values of ``column``.
+
     ``df`` holds the whole new content of these months; a month without rows leaves the table.
     None stands for all months. Files are written once; the other months are only pointed to.
     """
@@ -76,16 +80,16 @@ def prepare_months(df: DataFrame, table: str, months: set[str] | None, *order: s
     elif spark.catalog.tableExists(table) and months is not None:
         raise ValueError(f"{table} is not a table of month folders; prepare all its months")
     folder = f"{root}/{uuid.uuid4().hex}"
-    by_month(df, *order).write.partitionBy(PARTITION).parquet(folder)
+    by_month(df, column, *order).write.partitionBy(column).parquet(folder)
     pointers = {m: path for m, path in kept.items() if months is not None and m not in months}
     for path in files.children(spark, folder):
         name = path.rsplit("/", 1)[1]
-        if name.startswith(f"{PARTITION}="):
-            pointers[name.removeprefix(f"{PARTITION}=")] = path
-    columns = [f for f in df.schema.fields if f.name != PARTITION]
-    empty = spark.createDataFrame([], type(df.schema)([*columns, df.schema[PARTITION]]))
-    empty.write.option("path", f"{folder}/_table").partitionBy(PARTITION).saveAsTable(coming)
-    parts = [f"PARTITION ({PARTITION} = '{m}') LOCATION '{path}'" for m, path in sorted(pointers.items())]
+        if name.startswith(f"{column}="):
+            pointers[name.removeprefix(f"{column}=")] = path
+    fields = [f for f in df.schema.fields if f.name != column]
+    empty = spark.createDataFrame([], type(df.schema)([*fields, df.schema[column]]))
+    empty.write.option("path", f"{folder}/_table").partitionBy(column).saveAsTable(coming)
+    parts = [f"PARTITION ({column} = '{m}') LOCATION '{path}'" for m, path in sorted(pointers.items())]
     for start in range(0, len(parts), AT_ONCE):
         spark.sql(f"ALTER TABLE {coming} ADD {' '.join(parts[start:start + AT_ONCE])}")
     spark.catalog.refreshTable(coming)
@@ -101,7 +105,7 @@ def vacuum(spark: SparkSession, table: str, live: dict[str, str] | None = None)
     used = {path.rstrip("/") for path in (live or month_folders(spark, table)).values()}
     removed = 0
     for version in files.children(spark, _folder(spark, table, "data")):
-        months = [p for p in files.children(spark, version) if f"/{PARTITION}=" in p]
+        months = [p for p in files.children(spark, version) if "=" in p.rsplit("/", 1)[1]]
         stale = [p for p in months if p not in used]
         if len(stale) == len(months):
             files.remove(spark, version)

@@ -20,12 +20,12 @@ from cardwarden.functions.periods import chosen_window
 from cardwarden.operators import bronze, calendar, dimensions, facts, iforest, quality, scoring
 from cardwarden.operators.features import feature_frame, gold_features, model_matrix
 from cardwarden.operators.normalize import flatten, normalize_records
-from cardwarden.operators.staging import PARTITION, stage
+from cardwarden.operators.staging import MONTH, PARTITION, stage
 from cardwarden.plans import ledger, publication, warehouse
 from cardwarden.plans.lease import writer_lease
 from cardwarden.sources.landing import page_report, planned_months, read_pages, until_first_gap
 from cardwarden.sources.sample import read_sample
-from cardwarden.sources.scratch import materialize, scratch_run
+from cardwarden.sources.scratch import materialize, materialize_measured, scratch_run
 
 log = logging.getLogger(__name__)
 
@@ -136,7 +136,7 @@ def _months_of_changed_agencies(named: DataFrame, stats: DataFrame, last: DataFr
     moved = known.where(
         F.col(f"last.{agency}").isNull() | ~(stays("media_gasto_orgao") & stays("stddev_gasto_orgao"))
     )
-    months = named.join(moved.select(F.col(f"now.{agency}").alias(agency)), agency, "left_semi").select(PARTITION)
+    months = named.join(moved.select(F.col(f"now.{agency}").alias(agency)), agency, "left_semi").select(MONTH)
     return {row[0] for row in months.distinct().collect()}  # one a month
 
 
@@ -159,12 +159,12 @@ def build(spark: SparkSession, settings: Settings) -> Build:
 
     def coming_months(model: str, df: DataFrame, only: set[str] | None, *order: str) -> DataFrame:
         tables.append(settings.at(warehouse.TABLES[model]))
-        return publication.prepare_months(df, tables[-1], only, *order)
+        return publication.prepare_months(df, tables[-1], only, *order, column=MONTH)
 
-    def touched(df: DataFrame, only: set[str] | None) -> DataFrame:
-        return df if only is None else df.where(F.col(PARTITION).isin(*only))
+    def touched(df: DataFrame, only: set[str] | None, column: str = MONTH) -> DataFrame:
+        return df if only is None else df.where(F.col(column).isin(*only))
 
-    source = touched(spark.table(settings.at(bronze.BRONZE_TABLE)), months)
+    source = touched(spark.table(settings.at(bronze.BRONZE_TABLE)), months, PARTITION)
     staging = coming_months("stg_cpgf_despesas", stage(source, settings.cutoff, one_version=True), months, "id_transacao")
     models = {"stg_cpgf_despesas": staging}
     silver = {
@@ -228,24 +228,30 @@ def audited_transform(spark: SparkSession, settings: Settings) -> dict[str, Data
         return publish(spark, settings, built)
 
 
-def score_features(features: DataFrame, settings: Settings) -> DataFrame | None:
-    """Scores of a written feature table, or None where it is empty."""
-    n_rows = features.count()
+def score_features(features: DataFrame, settings: Settings, n_rows: int | None = None) -> DataFrame | None:
+    """Scores of a written feature table, or None where it is empty; its rows are counted unless known."""
+    n_rows = features.count() if n_rows is None else n_rows
     if n_rows == 0:
         return None
     matrix = model_matrix(features)
     forest = iforest.fit(matrix, n_rows, settings.forest)
-    raw = materialize(iforest.score(matrix, forest).drop(*iforest.MODEL_COLUMNS), "raw_scores")
-    scaled = scoring.scale_scores(raw)
+    raw, span = materialize_measured(
+        iforest.score(matrix, forest).drop(*iforest.MODEL_COLUMNS), "raw_scores",
+        low=F.min("raw_score"), high=F.max("raw_score"),
+    )
+    scaled = scoring.scale_scores(raw, (span["low"], span["high"]))
     return scoring.flag(scaled, settings.run_ts, settings.model_version)
 
 
 def detect_anomalies(spark: SparkSession, settings: Settings) -> dict:
-    """Score the gold fact into the satellite table."""
+    """Score the gold fact into the satellite table.
+
+    Mean amount, number of rows and span of the scores are taken while the copies are written.
+    """
     fact, days = (spark.table(settings.at(warehouse.TABLES[m])) for m in ("gold_fct_gastos_cartao", "gold_dim_data"))
-    gold = gold_features(fact, days)
-    features = materialize(feature_frame(materialize(gold, "gold_features")), "features")
-    scores = score_features(features, settings)
+    gold, amounts = materialize_measured(gold_features(fact, days), "gold_features", mean=F.avg("vl_transacao"))
+    features, rows = materialize_measured(feature_frame(gold, amounts["mean"]), "features", n=F.count("*"))
+    scores = score_features(features, settings, rows["n"])
     if scores is None:
         return {"status": "skipped", "count": 0}
     warehouse.save_scores(scores, settings.at(warehouse.SCORE_TABLE))

@@ -19,7 +19,7 @@ from cardwarden.operators import dimensions, facts, iforest, quality, scoring
 from cardwarden.operators.bronze import BRONZE_TABLE, EmptyLoadError, merge, require_records, upsert
 from cardwarden.operators.features import feature_frame, gold_features, model_matrix
 from cardwarden.operators.normalize import flatten, normalize_records
-from cardwarden.operators.staging import PARTITION, bronze_partition, stage
+from cardwarden.operators.staging import MONTH, PARTITION, bronze_partition, stage
 from cardwarden.plans import publication
 from cardwarden.plans.refresh import Settings, transform
 from cardwarden.plans.warehouse import (
@@ -36,7 +36,7 @@ from cardwarden.plans.warehouse import (
 )
 from cardwarden.sources.landing import month_plan, read_landing
 from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
-from cardwarden.sources.scratch import materialize, scratch_path
+from cardwarden.sources.scratch import materialize, materialize_measured, scratch_path
 from cardwarden.sources.testdata import (
     CALENDAR_END,
     CALENDAR_START,
@@ -389,9 +389,9 @@ def q_staged_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bronze(spark, sf_dir).withColumn(PARTITION, bronze_partition())
     with throw_away_database(spark) as database:
         name, view = f"{database}.stg", f"stg_{database}"
-        publication.prepare_months(stage(rows, CUTOFF), name, None, "id_transacao")
+        publication.prepare_months(stage(rows, CUTOFF), name, None, "id_transacao", column=MONTH)
         publication.release(spark, [name])
-        spark.table(name).drop(PARTITION).createOrReplaceTempView(view)
+        spark.table(name).drop(MONTH).createOrReplaceTempView(view)
         found = materialize(spark.sql(f"SELECT * FROM {view}"), "staged_view")
         spark.catalog.dropTempView(view)
         return found
@@ -513,7 +513,7 @@ def warehouse_of_feed(spark: SparkSession, sf_dir: str) -> Iterator[Settings]:
 def q_gold_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after three loads and two refreshes by touched months, as after one of everything."""
     with warehouse_of_feed(spark, sf_dir) as settings:
-        return materialize(spark.table(settings.at("gold.fct_gastos_cartao")).drop(PARTITION), "gold_refreshed")
+        return materialize(spark.table(settings.at("gold.fct_gastos_cartao")).drop(MONTH), "gold_refreshed")
 
 
 def q_gold_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -619,11 +619,14 @@ def q_forest_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_iforest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Isolation forest fitted on and scoring all rows (K3, K4), through to the flags."""
-    features = materialize(feature_frame(gold_rows(spark, sf_dir)), "features")
+    features, rows = materialize_measured(feature_frame(gold_rows(spark, sf_dir)), "features", n=F.count("*"))
     matrix = model_matrix(features)
-    forest = iforest.fit(matrix, features.count())
-    raw = materialize(iforest.score(matrix, forest).drop(*iforest.MODEL_COLUMNS), "raw_scores")
-    return scoring.flag(scoring.scale_scores(raw), RUN_TS)
+    forest = iforest.fit(matrix, rows["n"])
+    raw, span = materialize_measured(
+        iforest.score(matrix, forest).drop(*iforest.MODEL_COLUMNS), "raw_scores",
+        low=F.min("raw_score"), high=F.max("raw_score"),
+    )
+    return scoring.flag(scoring.scale_scores(raw, (span["low"], span["high"])), RUN_TS)
 
 
 # -- checks ------------------------------------------------------------------------------

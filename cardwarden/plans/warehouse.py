@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from cardwarden.operators.quality import union_all
 from cardwarden.sources.schemas import SCORES
-from cardwarden.sources.scratch import materialize
+from cardwarden.sources.scratch import materialize_measured
 
 LAYERS = ["bronze", "silver", "gold"]
 # fixed values: table of each model; gold models lose their prefix
@@ -87,13 +87,12 @@ def save_scores(scores: DataFrame, table: str = SCORE_TABLE) -> int:
     The result is complete in the scratch folder before the table is touched.
     """
     schema = T.StructType.fromDDL(SCORES)
-    ready = materialize(
-        scores.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), "scores"
+    ready, seen = materialize_measured(
+        scores.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), "scores", n=F.count("*")
     )
-    count = ready.count()
-    if count:
+    if seen["n"]:
         publish(ready, table)
-    return count
+    return seen["n"]
 
 
 def count_rows(tables: dict[str, DataFrame]) -> DataFrame:

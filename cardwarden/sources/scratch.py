@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -64,6 +64,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_measured(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Like :func:`materialize`, with aggregates over all rows that are taken while they are written.
+
+    Saves a pass over the copy for each of them. A task that is run again counts once.
+    """
+    seen = Observation()
+    written = materialize(df.observe(seen, *[m.alias(name) for name, m in measures.items()]), label)
+    return written, seen.get
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt out over all cores, for work that is heavy per row and few input files."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -65,7 +65,7 @@ def test_a_load_rewrites_only_its_months(spark, clean):
     for table in BY_MONTH:
         after = folders(spark, table)
         assert {m for m in after if after[m] != before[table][m]} == {"2026-01"}, table
-    january = spark.table("gold.fct_gastos_cartao").where("mes = '2026-01'")
+    january = spark.table("gold.fct_gastos_cartao").where("mes_extrato = '2026-01'")
     assert {f.split("/")[-3:-1] == folders(spark, BY_MONTH[3])["2026-01"].split("/")[-2:] for f in january.inputFiles()} == {True}
 
     # another amount in March of an agency with rows elsewhere: its means move there as well

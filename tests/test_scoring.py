@@ -13,6 +13,7 @@ from cardwarden.operators import iforest, scoring
 from cardwarden.operators.features import feature_frame, model_matrix
 from cardwarden.operators.lookup import attach_group_count
 from cardwarden.plans.refresh import Settings, score_features
+from cardwarden.sources.scratch import materialize_measured
 
 RUN = dt.datetime(2026, 9, 30, 12)
 SETTINGS = Settings(load_id="t", as_of=dt.date(2026, 9, 30), run_ts=RUN,
@@ -222,3 +223,16 @@ def test_summary(spark):
     assert (row.score_min, row.score_mediana, row.score_max) == (0.0, 0.5, 1.0)
     empty = scoring.run_summary(flagged.where(F.lit(False))).first()
     assert empty.total_processado == 0
+
+
+def test_measures_taken_while_writing(spark):
+    rows = spark.range(1000).repartition(7).withColumn("raw_score", F.col("id") / 1000)
+    written, seen = materialize_measured(
+        rows, "measured", n=F.count("*"), mean=F.avg("id"), low=F.min("raw_score"), high=F.max("raw_score")
+    )
+    assert written.count() == 1000
+    assert seen == {"n": 1000, "mean": 499.5, "low": 0.0, "high": 0.999}
+    known = scoring.scale_scores(written, (seen["low"], seen["high"]))
+    assert known.exceptAll(scoring.scale_scores(written)).isEmpty()
+    _, none = materialize_measured(rows.limit(0), "measured", n=F.count("*"), low=F.min("raw_score"))
+    assert none == {"n": 0, "low": None}
