@@ -68,14 +68,21 @@ class WordCache(dict):
 _kept: dict[str, tuple] = {}
 
 
-def kept_cache(name: str, key, value: callable) -> WordCache:
-    """The one cache that this process keeps, a new one if its name or key has changed."""
+def kept(name: str, key, make: callable):
+    """The one model or cache that this process keeps between tasks, a new one if name or key has changed.
+
+    A worker serves one operator after another; only the present one's words stay in memory.
+    """
     if name not in _kept or _kept[name][0] != key:
         _kept.clear()
-        _kept[name] = key, WordCache(value)
+        _kept[name] = key, make()
     return _kept[name][1]
 
 
+def kept_cache(name: str, key, value: callable) -> WordCache:
+    return kept(name, key, lambda: WordCache(value))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of unsigned 64-bit numbers that spreads every bit over all (SplitMix64)."""
     x = x ^ (x >> np.uint64(30))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import CACHE_WORD_BYTES, CACHE_WORDS, WordCache, texts_of
+from cardwarden.llm.common import CACHE_WORD_BYTES, CACHE_WORDS, WordCache, kept, texts_of
 
 #: Entries of the shared table of frequent pre-tokens, each of CACHE_WORD_BYTES characters at most.
 FREQUENT = 16_384
@@ -23,8 +23,6 @@ ID_WORDS = 400_000
 #: New words that are encoded as one text.
 JOINED = 500
 
-_loaded: dict = {}
-
 
 class PieceModel:
     """A sentencepiece model and how a text falls into pre-tokens that cannot affect each other.
@@ -44,6 +42,7 @@ class PieceModel:
         as_is = self.model.decode(self.model.encode(raw)) == raw
         self.splits = as_is and not across and self.count("▁") == 1 + self.count("a ▁") - self.count("a ")
         self.blank = self.count("a ") - self.count("a")
+        self.lengths = WordCache(self.length)
 
     def count(self, text: str) -> int:
         return len(self.model.encode(text, num_threads=1))
@@ -141,16 +140,12 @@ class MergeModel:
 
 
 def piece_model(path: str) -> PieceModel:
-    """The model, loaded once by each process."""
-    if path not in _loaded:
-        _loaded[path] = PieceModel(path)
-    return _loaded[path]
+    """The model, loaded once by each process that works on nothing else meanwhile."""
+    return kept("piece", path, lambda: PieceModel(path))
 
 
 def merge_model(path: str) -> MergeModel:
-    if path not in _loaded:
-        _loaded[path] = MergeModel(path)
-    return _loaded[path]
+    return kept("merge", path, lambda: MergeModel(path))
 
 
 def frequent_lengths(texts: DataFrame, path: str, limit: int = FREQUENT) -> dict[str, int]:
@@ -201,10 +196,7 @@ def token_counts(
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = piece_model(model_path)
-        if ("lengths", model_path) not in _loaded:
-            _loaded["lengths", model_path] = WordCache(model.length)
-        misses = _loaded["lengths", model_path]
-        lengths = WordCache(misses.__getitem__)
+        lengths = WordCache(model.lengths.__getitem__)
         lengths.update(shared.value)
         for frame in frames:
             texts = texts_of(frame, "text")
