@@ -122,3 +122,27 @@ def test_very_long_text(spark):
 
 def test_same_as_sql(spark):
     assert spark_rows(QUERIES["op12_ngram_join"](spark, SF)) == duck_rows(duck(SF), ORACLES["op12_ngram_join"])
+
+
+def test_sketches_never_rule_out_a_similar_set():
+    rng, bounds = np.random.default_rng(9), join.Threshold(85)
+    sets = []
+    for n in (1, 7, 60, 900, 1100, 5000):  # sketches of 1024 to 8192 bits
+        base = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        for share in (0, 0.02, 0.05, 0.07, 0.09, 0.2, 0.5):
+            own = base.copy()
+            own[:int(n * share)] = rng.integers(0, 1 << 62, int(n * share))
+            sets.append(np.unique(own)[:n - int(n * share / 2)])
+    assert len({len(join.sketch(s)) for s in sets}) == 4
+    for a in sets:
+        for b in sets:
+            short, long = sorted((np.frombuffer(join.sketch(s), np.uint64) for s in (a, b)), key=len)
+            apart = int(np.bitwise_count(short ^ join.folded(long, len(short))).sum())
+            assert apart <= len(np.setxor1d(a, b))
+    group = [(i, i, len(s), join.sketch(s)) for i, s in enumerate(sets)]
+    left = {key for key, _ in join.maybe_similar(group, bounds)}
+    similar = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+    needed = {i for i, a in enumerate(sets) if any(i != j and similar(a, b) for j, b in enumerate(sets))}
+    assert needed <= left and len(left) < len(sets)
+    one = [(i, 7, n, s) for i, _, n, s in group]  # all of one component: nothing is left to look at
+    assert list(join.maybe_similar(one, bounds)) == []
