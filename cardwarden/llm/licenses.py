@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -37,7 +38,7 @@ class Notice:
     phrase: str
     edits: int
     seeds: tuple[tuple[str, int], ...]
-    pattern: object
+    patterns: tuple  # one for each number of edits, from 1
 
 
 def notice(label: str, phrase: str, per_edit: int = CHARACTERS_PER_EDIT) -> Notice:
@@ -45,8 +46,9 @@ def notice(label: str, phrase: str, per_edit: int = CHARACTERS_PER_EDIT) -> Noti
     edits = len(phrase) // per_edit
     cuts = [round(i * len(phrase) / (edits + 1)) for i in range(edits + 2)]
     seeds = tuple((phrase[a:b], a) for a, b in zip(cuts, cuts[1:]))
-    pattern = regex.compile(rf"(?b)(?<= )(?:{regex.escape(phrase, special_only=True)}){{e<={edits}}}(?= )")
-    return Notice(label, phrase, edits, seeds, pattern)
+    escaped = regex.escape(phrase, special_only=True)
+    patterns = tuple(regex.compile(rf"(?<= )(?:{escaped}){{e<={k}}}(?= )") for k in range(1, edits + 1))
+    return Notice(label, phrase, edits, seeds, patterns)
 
 
 def gaps(spans: Sequence[Sequence[int]], taken: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -107,14 +109,15 @@ class Scanner:
                     else:
                         spans.append([low, high])
         for i, spans in windows.items():
-            n, exact = self.notices[i], sorted((a, b) for j, a, b in found if j == i)
-            parts = gaps(spans, exact)
-            while parts:  # the best place of each part, then those before and behind it
-                low, high = parts.pop()
-                m = n.pattern.search(joined, low, high) if high - low >= len(n.phrase) - n.edits + 2 else None
-                if m:
-                    found[i, m.start(), m.end()] = sum(m.fuzzy_counts)
-                    parts += [(low, m.start()), (m.end(), high)]
+            n, taken = self.notices[i], sorted((a, b) for j, a, b in found if j == i)
+            for pattern in n.patterns:  # all places with one edit, then in what is left those with two, …
+                for low, high in gaps(spans, taken):
+                    if high - low < len(n.phrase) - n.edits + 2:
+                        continue
+                    for m in pattern.finditer(joined, low, high):
+                        found[i, m.start(), m.end()] = sum(m.fuzzy_counts)
+                        taken.append(m.span())
+                taken.sort()
         return len(words), self._spans(text, joined, found) if found else []
 
     def _spans(self, text: str, joined: str, found: dict) -> list[tuple]:
@@ -124,10 +127,11 @@ class Scanner:
             at = data.index(word, at)
             starts.append((at, at + len(word)))
             at += len(word)
+        blanks = [k for k, c in enumerate(joined) if c == " "]
         out = []
         for (i, a, b), edits in found.items():
             n = self.notices[i]
-            first, last = joined.count(" ", 0, a) - 1, joined.count(" ", 0, b) - 1
+            first, last = bisect_left(blanks, a) - 1, bisect_left(blanks, b) - 1
             score = 1.0 - edits / len(n.phrase)
             out.append((n.label, first, last, starts[first][0], starts[last][1], edits, score))
         return sorted(out, key=lambda m: (m[1], m[0], m[2]))

@@ -119,3 +119,19 @@ def test_query_on_the_tables(spark):
         assert (r.n_words, r.n_base, r.base_labels) == (n, len(places), ",".join(sorted(labels)))
         assert (r.first_word, r.last_word) == ((places[0], places[-1]) if places else (None, None))
         assert labels <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_long_texts_of_near_notices_take_time_in_proportion():
+    from time import perf_counter
+
+    scanner = licenses.Scanner(licenses.BASE + licenses.NOTICES)
+
+    def seconds(n):
+        text = " ".join(f"general publi{'kc'[i % 2]} licence x{i} all rights resrved" for i in range(n))
+        start = perf_counter()
+        words, found = scanner.scan(text)
+        assert words == 7 * n and len(found) == 2 * n
+        return perf_counter() - start
+
+    seconds(100)
+    assert seconds(3000) < 30 * max(seconds(300), 0.01)  # 21 000 words; quadratic would be a hundredfold
