@@ -9,6 +9,8 @@ import numpy as np
 
 ONE = np.uint64(1)
 WORD = np.uint64(64)
+#: Codes of weights that are not 0, which fill 12 bits.
+LEVELS = 4095
 
 
 def _packed_bits(bits: np.ndarray) -> np.ndarray:
@@ -119,17 +121,16 @@ class Sequence:
         return np.where(hit, at, -1)
 
 
-def quantised(values: np.ndarray, levels: int = 255) -> tuple[np.ndarray, np.ndarray]:
-    """Codes from 1 and the value of each code; code 0 stands for 0. Bins are even in logarithm."""
-    book = np.zeros(levels + 1)
-    if not len(values):
-        return np.empty(0, np.uint8), book
-    logs = np.log(values)
-    low, width = logs.min(), (logs.max() - logs.min()) / levels
-    bins = np.minimum(((logs - low) / width).astype(np.int64), levels - 1) if width > 0 else np.zeros(len(logs), np.int64)
-    n = np.bincount(bins, minlength=levels)
-    book[1:] = np.exp(np.bincount(bins, logs, levels) / np.maximum(n, 1))
-    return (bins + 1).astype(np.uint8), book
+def code_book(lowest: float, levels: int = LEVELS) -> np.ndarray:
+    """Value of each code: codes from 1 are bins even in logarithm from ``lowest`` to 1, code 0 stands for 0."""
+    middle = (np.arange(levels) + 0.5) / levels
+    return np.append(0.0, np.exp(np.log(lowest) * (1 - middle)))
+
+
+def quantised(values: np.ndarray, lowest: float, levels: int = LEVELS) -> np.ndarray:
+    """Codes from 1 of values between ``lowest`` and 1; the same value has the same code everywhere."""
+    place = 1 - np.log(values) / np.log(lowest)
+    return (np.clip((place * levels).astype(np.int64), 0, levels - 1) + 1).astype(np.uint16)
 
 
 class BigramTrie:
@@ -139,22 +140,25 @@ class BigramTrie:
     successor of the context before, which makes the whole level one ascending sequence.
     """
 
-    def __init__(self, contexts: np.ndarray, pointers: np.ndarray, words: np.ndarray, weights: np.ndarray):
-        """``contexts`` ascending, ``pointers`` one longer, ``words`` ascending in each range."""
+    def __init__(self, contexts: np.ndarray, pointers: np.ndarray, words: np.ndarray,
+                 weights: np.ndarray, lowest: float):
+        """``contexts`` ascending, ``pointers`` one longer, ``words`` ascending in each range.
+
+        ``lowest`` is the least weight that any trie of the model can hold.
+        """
         sizes = np.diff(pointers)
         last = words[pointers[1:] - 1] + 1 if len(contexts) else np.empty(0, np.int64)
         bases = np.cumsum(last) - last
         level = words + 1 + np.repeat(bases, sizes)
-        codes, book = quantised(weights)
+        codes = quantised(weights, lowest)
         self.arrays = MappedArrays(
             encoded(contexts, "contexts") | encoded(pointers, "pointers") | encoded(level, "level") | {"codes": codes}
         )
-        self.book = book
         self.contexts, self.pointers, self.level = (Sequence(self.arrays, k) for k in ("contexts", "pointers", "level"))
 
     def codes(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Code of every pair; 0 if the pair is not in the trie."""
-        out = np.zeros(len(contexts), np.uint8)
+        out = np.zeros(len(contexts), np.uint16)
         rank = self.contexts.find(contexts)
         at = np.flatnonzero(rank >= 0)
         if not len(at):

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import byte_words, cut_by_shard, mix64, shuffle_shards
-from cardwarden.llm.eliasfano import BigramTrie
+from cardwarden.llm.eliasfano import BigramTrie, code_book
 from cardwarden.sources.scratch import materialize
 
 #: Tokens of a chunk; a longer text is a chunk of its own.
@@ -176,7 +176,7 @@ def read_bigrams(data: bytes) -> tuple[np.ndarray, ...]:
     return np.repeat(np.cumsum(step), sizes), word, counts, np.repeat(total, sizes)
 
 
-def weigh_bigrams(group: pd.DataFrame, number: int, prior: float) -> pd.DataFrame:
+def weigh_bigrams(group: pd.DataFrame, number: int, prior: float, lowest: float) -> pd.DataFrame:
     """The shard's part of the model as a trie, and its answer to every chunk."""
     asked = [read_bigrams(d) for d in group["entries"]]
     ends = np.cumsum([len(a[0]) for a in asked])
@@ -198,23 +198,24 @@ def weigh_bigrams(group: pd.DataFrame, number: int, prior: float) -> pd.DataFram
     pair_rank, pair_word, total = pair_rank[kept], pair_word[kept], total[kept]
     seen, first = np.unique(pair_rank, return_index=True)
     weights = total / (of_context[pair_rank] + prior)
-    trie = BigramTrie(contexts[seen], np.append(first, len(pair_rank)), pair_word, weights)
+    trie = BigramTrie(contexts[seen], np.append(first, len(pair_rank)), pair_word, weights, lowest)
     del pairs, of, pair_rank, pair_word, total, counts, context_count, rank
     rows, start = [], 0
     for chunk, end in zip(group["chunk"], ends.tolist(), strict=True):
         codes, start = trie.codes(context[start:end], word[start:end]), end
-        body = trie.book.astype("<f8").tobytes() + codes.tobytes()
-        rows.append((number, chunk, 3, zstandard.ZstdCompressor(level=1).compress(body), 0, 0))
+        rows.append((number, chunk, 3, zstandard.ZstdCompressor(level=1).compress(codes.astype("<u2").tobytes()), 0, 0))
     return pd.DataFrame(rows, columns=["shard", "chunk", "kind", "entries", "n", "v"])
 
 
-def bigram_weights(answers: pd.DataFrame) -> np.ndarray:
-    parts = []
-    for data in answers.sort_values("shard")["entries"]:
-        raw = zstandard.ZstdDecompressor().decompressobj().decompress(data)
-        book = np.frombuffer(raw, "<f8", 256)
-        parts.append(book[np.frombuffer(raw, np.uint8, -1, book.nbytes)])
-    return np.concatenate(parts)
+def lowest_weight(n: int, prior: float) -> float:
+    """Least weight of a bigram: one occurrence after a context that is all of ``n`` tokens."""
+    return 1 / (n + prior + 1)
+
+
+def bigram_weights(answers: pd.DataFrame, lowest: float) -> np.ndarray:
+    parts = answers.sort_values("shard")["entries"]
+    raw = b"".join(zstandard.ZstdDecompressor().decompressobj().decompress(data) for data in parts)
+    return code_book(lowest)[np.frombuffer(raw, "<u2")]
 
 
 def scored(resolved: Resolved, weights: np.ndarray, n: int, v: int, prior: float) -> pd.DataFrame:
@@ -243,7 +244,8 @@ def language_scores(
     The model learns from the rows for which ``held_out`` is not true and scores all. Tokens are
     the words between ASCII white space, A-Z in lower case, then one end. ``base_score`` is the
     log10 probability by single words with one occurrence added to each and to one unknown word;
-    ``score`` is that of the bigram model above it, whose weights are quantised to 8 bits.
+    ``score`` is that of the bigram model above it, whose weights are quantised to 12 bits by bounds
+    that depend on the number of training tokens only, so the session's settings change no score.
     ``n_known`` counts tokens that occur in training, ``train_tokens`` all tokens there.
 
     NULL and empty texts are one end. Rows with a NULL id and repeated rows are each learned from
@@ -315,6 +317,7 @@ def language_scores(
         F.sum(F.when(F.col("kind") == 2, F.col("n"))),
     ).first()
     n, v, n_begin = n or 0, v or 0, n_begin or 0
+    lowest = lowest_weight(n, prior)
     counts = words.where("kind = 0").withColumn("v", F.lit(n_begin).cast("bigint"))
 
     def ask_bigrams(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -328,11 +331,11 @@ def language_scores(
         return pd.DataFrame(rows, columns=["shard", "chunk", "entries"])
 
     def weigh(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return weigh_bigrams(group, int(key[0]), prior)
+        return weigh_bigrams(group, int(key[0]), prior, lowest)
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         r = Resolved(Chunk(next(left.itertuples(index=False))), right[right["kind"] == 0], n, shards)
-        return scored(r, bigram_weights(right[right["kind"] == 3]), n, v, prior)
+        return scored(r, bigram_weights(right[right["kind"] == 3], lowest), n, v, prior)
 
     asked = chunks.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(ask_bigrams, ASKED)
     bigrams = materialize(asked.groupBy("shard").applyInPandas(weigh, ANSWER), "weights")
