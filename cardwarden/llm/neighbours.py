@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,13 +15,15 @@ from pyspark.sql import functions as F
 
 from cardwarden.sources.scratch import materialize
 
+RESULT = "query_id bigint, rank int, vec_id bigint, score double"
+
 
 @dataclass(frozen=True)
 class IndexSpec:
     """``sample`` bounds the vectors the centroids are fitted on; every vector is indexed.
 
     A query visits cells in order of distance until it has seen ``cells`` that are not empty and
-    ``share`` of all vectors, at least ``candidates``. The share is large because vectors without
+    ``share`` of all vectors, by one rule at every size. The share is large because vectors without
     clusters, like those of the test tables, need it for a recall of 0.9; clustered ones don't.
     """
 
@@ -28,7 +31,6 @@ class IndexSpec:
     sample: int = 20_000
     rounds: int = 12
     cells: int = 32
-    candidates: int = 1_000
     share: float = 0.7
     vectors_a_block: int = 4_096
     queries_a_block: int = 1_024
@@ -103,24 +105,33 @@ def best_of_block(ids: np.ndarray, vectors: np.ndarray, queries: pd.DataFrame, k
 
 
 def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Cosine in double precision, summed in the same order for every row."""
-    return (vectors * query).sum(axis=1) / np.sqrt((vectors * vectors).sum(axis=1) * (query * query).sum())
+    """Cosine in double precision, summed in the same order for every row.
+
+    Powers of two are taken out first, which changes no digit and keeps squares finite.
+    """
+    x = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+    q = np.ldexp(query, -np.frexp(np.abs(query).max())[1])
+    return (x * q).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (q * q).sum())
 
 
 def unpacked(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
 
 
-def build_index(vectors: DataFrame, id_col: str, vector_col: str, spec: IndexSpec) -> tuple[DataFrame, list, int]:
-    """(vec_id, v, cell) of every usable vector, the two sets of centroids and the length."""
+def lengths(vectors: DataFrame, vector_col: str) -> list[int]:
+    """Lengths of the vectors, the most frequent first; few, as a table has one or a handful."""
+    found = vectors.where(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("n")).count()
+    return [r.n for r in found.orderBy(F.desc("count"), F.desc("n")).collect()]
+
+
+def build_index(vectors: DataFrame, id_col: str, vector_col: str, dim: int, spec: IndexSpec) -> tuple[DataFrame, list]:
+    """(vec_id, v, cell) of every usable vector of a length, and the two sets of centroids."""
     asked = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
     asked = asked.where("vec_id is not null")
-    common = asked.where("size(x) > 0").groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    dim = common.n if common else 0
     rows = asked.where(usable(F.col("x"), dim))
     chosen = rows.orderBy(F.xxhash64("vec_id", F.lit(spec.seed)), "vec_id").limit(spec.sample).toPandas()
     if chosen.empty:
-        return rows.selectExpr("vec_id", "cast(null as binary) v", "0 cell"), [], 0
+        return rows.selectExpr("vec_id", "cast(null as binary) v", "0 cell"), []
     points, rng, cut = unit(np.stack(chosen["x"].to_numpy()).astype(float)), np.random.default_rng(spec.seed), dim // 2
     halves = [half_centroids(points[:, :cut], spec.centroids, spec.rounds, rng),
               half_centroids(points[:, cut:], spec.centroids, spec.rounds, rng)]
@@ -136,7 +147,7 @@ def build_index(vectors: DataFrame, id_col: str, vector_col: str, spec: IndexSpe
             cell = distances(u[:, :cut], first).argmin(axis=1) * len(second) + distances(u[:, cut:], second).argmin(axis=1)
             yield pd.DataFrame({"vec_id": frame["vec_id"], "v": [r.tobytes() for r in x], "cell": cell.astype(np.int32)})
 
-    return materialize(rows.mapInPandas(assign, "vec_id bigint, v binary, cell int"), "index"), halves, dim
+    return materialize(rows.mapInPandas(assign, "vec_id bigint, v binary, cell int"), "index"), halves
 
 
 def nearest(
@@ -149,22 +160,30 @@ def nearest(
     original vectors; ties go to the smaller id. Candidates are the rows of other ids in the
     cells that the query visits; a query gets fewer than k rows only if there are no more.
 
-    Vectors that are NULL, zero or hold NULL or non-finite components, whose length is not the
-    most frequent one, or whose id is NULL take no part. Repeated rows are candidates each; a
-    query repeated with the same vector is answered once, with another vector once for each. An
-    empty table gives no rows.
+    Vectors that are NULL, zero or hold NULL or non-finite components, or whose id is NULL take no
+    part. Vectors of one length are searched among each other, each length with an index of its
+    own. Repeated rows are candidates each; a query repeated with the same vector is answered once,
+    with another vector once for each. An empty table gives no rows; other columns are ignored.
 
     Each half of the vector is quantised on its own; a cell is a pair of centroids. Cells are
     searched in blocks of bounded numbers of vectors and queries, so a cell that holds most rows
     is spread over many tasks, and a block gives k rows a query at most. The driver sees cell
     counts only, at most ``centroids`` squared.
     """
-    index, halves, _ = build_index(vectors, id_col, vector_col, spec)
-    empty = "query_id bigint, rank int, vec_id bigint, score double"
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("x"))
+    parts = [_nearest_of_length(rows, queries, k, dim, spec) for dim in lengths(rows, "x")]
+    parts = [p for p in parts if p is not None]
+    if not parts:
+        return vectors.sparkSession.createDataFrame([], RESULT)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _nearest_of_length(vectors: DataFrame, queries: Column, k: int, dim: int, spec: IndexSpec) -> DataFrame | None:
+    index, halves = build_index(vectors, "vec_id", "x", dim, spec)
     if not halves:
-        return vectors.sparkSession.createDataFrame([], empty)
+        return None
     sizes = {r.cell: r["count"] for r in index.groupBy("cell").count().collect()}
-    wanted = max(spec.candidates, k + 1, int(spec.share * sum(sizes.values())))
+    wanted = max(k + 1, int(spec.share * sum(sizes.values())))
     shared = vectors.sparkSession.sparkContext.broadcast((halves, sizes))
 
     def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -46,6 +46,25 @@ def test_awkward_vectors(spark):
     assert got == expected
 
 
+def test_every_length_is_searched_on_its_own(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=2 + i % 3).astype("f4")]) for i in range(90)]
+    df = spark.createDataFrame([(i, v, 3, "v", "l") for i, v in rows], SCHEMA)
+    got = results(nn.nearest(df, F.col("vec_id") % 10 == 0, spec=nn.IndexSpec(centroids=2, share=1.0)))
+    expected = {}
+    for dim in (2, 3, 4):
+        expected |= plain(usable(rows, dim), lambda i: i % 10 == 0)
+    assert got == expected
+
+
+def test_vectors_of_extreme_size():
+    rng = np.random.default_rng(5)
+    query, vectors = rng.normal(size=8), rng.normal(size=(20, 8))
+    expected = nn.cosine(query, vectors)
+    assert (nn.cosine(query * 2.0**900, vectors * 2.0**-900) == expected).all()
+    assert np.isfinite(nn.cosine(np.full(8, 1e200), np.full((1, 8), 1e-200))).all()
+
+
 def test_fewer_rows_than_wanted_and_none(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])]
     df = spark.createDataFrame([(i, v, 0, "", "") for i, v in rows], SCHEMA)
@@ -82,10 +101,10 @@ def test_recall_where_cells_are_skipped(spark):
     folder, spec = "/root/testdata/sf0.1", nn.IndexSpec()
     vectors = table(spark, folder, "embeddings")
     rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
-    index, halves, _ = nn.build_index(vectors, "vec_id", "embedding", spec)
+    index, halves = nn.build_index(vectors, "vec_id", "embedding", len(rows[0][1]), spec)
     sizes = {r.cell: r["count"] for r in index.groupBy("cell").count().collect()}
     asked = index.where("vec_id % 50 = 0").toPandas()
-    wanted = max(spec.candidates, int(spec.share * len(rows)))
+    wanted = int(spec.share * len(rows))
     unit = nn.unit(nn.unpacked(asked["v"]))
     cut, looked = halves[0].shape[1], []
     one, two = nn.distances(unit[:, :cut], halves[0]), nn.distances(unit[:, cut:], halves[1])
