@@ -182,15 +182,17 @@ def from_planes(data: bytes, kind: str, n: int, at: int) -> np.ndarray:
 
 def packed_entries(chunk: Chunk, names: np.ndarray, around: np.ndarray | None, place: np.ndarray,
                    shard: np.ndarray, shards: int) -> pd.DataFrame:
-    """One row a shard: steps of the ascending names, surroundings, places; and the chunk's ids.
+    """One row a shard: steps of the ascending names, surroundings, places; and the ids they need.
 
-    A place tells its document, as the starts and ids of the chunk's documents go with it.
+    A place tells its document, as the starts and ids of the documents that the row names go with it.
     """
-    ids, sizes = np.diff(chunk.ids, prepend=0), chunk.sizes
-    documents = planes(ids.astype("<i8")) + planes(sizes.astype("<i8"))
+    document = np.searchsorted(chunk.starts, place, "right") - 1
     zstd, rows = zstandard.ZstdCompressor(level=1), []
     for s, own in cut_by_shard(shard, shards):
         steps = np.diff(names[own], prepend=np.uint64(0))
+        named = np.unique(document[own])
+        ids, starts = np.diff(chunk.ids[named], prepend=0), np.diff(chunk.starts[named], prepend=0)
+        documents = planes(ids.astype("<i8")) + planes(starts.astype("<i8"))
         n = len(steps)
         head = np.array([n, len(ids)], "<i8").tobytes()
         more = around[own].astype("<u8").tobytes() if around is not None else b""
@@ -205,11 +207,10 @@ def unpacked_entries(entries: bytes, refine: bool) -> tuple[np.ndarray, ...]:
     n, m = (int(x) for x in np.frombuffer(data, "<i8", 2))
     steps, place = from_planes(data, "<u8", n, 16), from_planes(data, "<i8", n, 16 + 8 * n)
     at = 16 + 16 * n
-    ids, sizes = from_planes(data, "<i8", m, at), from_planes(data, "<i8", m, at + 8 * m)
+    ids, starts = (np.cumsum(from_planes(data, "<i8", m, a)) for a in (at, at + 8 * m))
     around = np.frombuffer(data, "<u8", n, at + 16 * m) if refine else np.zeros(n, np.uint8)
-    starts = np.cumsum(sizes) - sizes
     document = np.searchsorted(starts, place, "right") - 1
-    return np.cumsum(steps, dtype=np.uint64), around, np.cumsum(ids)[document], place
+    return np.cumsum(steps, dtype=np.uint64), around, ids[document], place
 
 
 def answers(group: pd.DataFrame, refine: bool) -> pd.DataFrame:
@@ -340,7 +341,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         np.add.at(edges, runs.last[repeated] + LENGTH, -1)
         np.add.at(edges, starts[again], 1)
         np.add.at(edges, starts[again] + LENGTH, -1)
-        gone = np.cumsum(edges[:-1]) > 0
+        gone = np.cumsum(edges[:-1], dtype=np.int32) > 0
+        del edges
         rows = []
         for key, known, a, size in zip(c.ids, c.known, c.starts, c.sizes, strict=True):
             own = gone[a:a + size]
