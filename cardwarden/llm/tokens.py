@@ -75,11 +75,16 @@ class MergeModel:
     PROBE = "Anna's, LIEF. It's 12.5 km!? été… ñ-x a.b (c) <d>\n\t 'll ''d \x1c ok;"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
+        # for runs of small letters, whose normal form and pre-token they are themselves
+        self.of_runs = Tokenizer(self.model.model)
+        self.of_runs.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
         size = self.model.get_vocab_size(with_added_tokens=True)
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.added = [t.content.lower() for t in self.model.get_added_tokens_decoder().values()]
@@ -90,6 +95,12 @@ class MergeModel:
         probe = self.PROBE.replace("…", "")
         self.by_part = b"".join(map(self.raw, self.PARTS.findall(probe.lower()))) == self.raw(probe)
         self.by_end = all(self._ends_once(w) for w in ("ab", "zqxj", "été", "inandthion"))
+        runs = ["été", "straße", "inandthion", "ɏœǆ", *map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x250)])]
+        runs = [r for r in runs if r == r.lower()]
+        if [e.ids for e in self.of_runs.encode_batch(runs)] != [
+            e.ids for e in self.model.encode_batch(runs, add_special_tokens=False)
+        ]:
+            self.of_runs = self.model
 
     def _ends_once(self, word: str) -> bool:
         return self.ends[np.frombuffer(self.raw(word), self.kind)].nonzero()[0].tolist() == [
@@ -113,7 +124,7 @@ class MergeModel:
         if not new or not self.by_end:
             return
         joined = ["\n".join(new[i:i + JOINED]) for i in range(0, len(new), JOINED)]
-        coded = [e.ids for e in self.model.encode_batch_fast(joined, add_special_tokens=False)]
+        coded = [e.ids for e in self.of_runs.encode_batch_fast(joined, add_special_tokens=False)]
         ids = np.array([i for part in coded for i in part], self.kind)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(new):
@@ -125,18 +136,25 @@ class MergeModel:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text, as bytes of type ``kind``."""
-        cuts = [self.cut(t) for t in texts]
+        known, cuts, found, open_ = self.parts.get, [self.cut(t) for t in texts], [], []
+        for number, parts in enumerate(cuts):
+            ids = None if parts is None else list(map(known, parts))
+            if ids and None in ids:
+                open_.append((number, [k for k, own in enumerate(ids) if own is None]))
+            found.append(ids)
         fresh: set[str] = set()
-        for parts in cuts:
-            fresh.update(parts or ())
+        for number, places in open_:
+            parts = cuts[number]
+            fresh.update([parts[k] for k in places])
             if len(fresh) > CACHE_WORDS // 4:
                 self.learn(fresh)
                 fresh = set()
         self.learn(fresh)
-        return [
-            self.raw(t) if parts is None else b"".join(map(self.parts.__getitem__, parts))
-            for t, parts in zip(texts, cuts, strict=True)
-        ]
+        for number, places in open_:
+            parts, ids = cuts[number], found[number]
+            for k in places:
+                ids[k] = self.parts[parts[k]]
+        return [self.raw(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
 
 
 def piece_model(path: str) -> PieceModel:
