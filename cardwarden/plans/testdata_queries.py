@@ -35,7 +35,6 @@ from cardwarden.plans.warehouse import (
     save_scores,
 )
 from cardwarden.sources.landing import month_plan, read_landing
-from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
 from cardwarden.sources.scratch import materialize, materialize_measured, scratch_path
 from cardwarden.sources.testdata import (
     CALENDAR_END,
@@ -162,10 +161,10 @@ def q_rolling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_pages(spark: SparkSession, sf_dir: str) -> str:
-    """The first load as landed pages; some months lack a page in the middle or the first."""
+def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first load with month and page; some months lack a page in the middle or the first."""
     month = F.substring("mes", 6, 2).cast("int")
-    pages = (
+    return (
         raw_records(spark, sf_dir, (1,))
         .drop("_load")
         .withColumn("mes", statement_month(F.col("mesExtrato")))
@@ -173,8 +172,12 @@ def land_pages(spark: SparkSession, sf_dir: str) -> str:
         .where(~((month % 4 == 0) & (F.col("pagina") == 4)))
         .where(~((month % 4 == 1) & (F.col("pagina") == 1)))
     )
+
+
+def land_pages(spark: SparkSession, sf_dir: str) -> str:
+    """The first load as landed pages, one object a line."""
     path = scratch_path(spark, "landing")
-    by_page = pages.hint("rebalance", F.col("mes"), F.col("pagina"))
+    by_page = landed_records(spark, sf_dir).hint("rebalance", F.col("mes"), F.col("pagina"))
     by_page.write.partitionBy("mes", "pagina").json(path)
     return path
 
@@ -197,24 +200,28 @@ def q_landing_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("mes", "pagina").agg(F.count("*").alias("n"), F.min("id").alias("menor_id"))
 
 
-ARRAY_IDS = 3000
+ARRAY_ROWS = 3000
 
 
 def land_arrays(spark: SparkSession, sf_dir: str) -> str:
     """The same pages as files that each hold one array, or one object where there is one record.
 
-    A file holds records of ``ARRAY_IDS`` ids at most; a page has as many files as it needs.
+    A page's first record is a file of its own; the others are dealt by a hash of their id into
+    files of about ``ARRAY_ROWS`` records, so their number follows the rows and not the ids' range.
     """
-    rows = spark.read.json(land_pages(spark, sf_dir), schema=f"{RAW_RECORD}, {LANDING_PARTITIONS}")
-    texts = rows.groupBy("mes", "pagina", (F.col("id") / ARRAY_IDS).cast("bigint")).agg(
-        F.collect_list(F.to_json(F.struct(*[c for c in rows.columns if c not in ("mes", "pagina")]))).alias("texts")
-    )
+    rows = materialize(landed_records(spark, sf_dir), "records")
+    pages = materialize(rows.groupBy("mes", "pagina").agg(
+        F.min("id").alias("_first"), F.ceil(F.count("*") / ARRAY_ROWS).alias("_files")
+    ), "page_sizes")
+    file = F.when(F.col("id") > F.col("_first"), F.pmod(F.xxhash64("id"), F.col("_files"))).otherwise(-1)
+    record = F.to_json(F.struct(*[c for c in rows.columns if c not in ("mes", "pagina")]))
+    texts = rows.join(pages, ["mes", "pagina"]).groupBy("mes", "pagina", file).agg(F.collect_list(record).alias("texts"))
     whole = F.when(F.size("texts") == 1, F.element_at("texts", 1)).otherwise(
         F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("]"))
     )
     path = scratch_path(spark, "arrays")
     files = texts.select("mes", "pagina", whole.alias("value"))
-    files.write.partitionBy("mes", "pagina").option("maxRecordsPerFile", 1).text(path)
+    files.write.partitionBy("mes", "pagina").option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
     return path
 
 
