@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from cardwarden.operators.staging import PARTITION, bronze_partition, latest_version
 from cardwarden.plans import ledger, publication
 from cardwarden.plans.lease import writer_lease
+from cardwarden.sources.scratch import materialize_measured
 
 BRONZE_TABLE = "bronze.cartoes_pagamento"
 KEY = "id"
+#: Size of the bit map that tells which rows a load surely leaves alone.
+KEY_BITS = 2**27
 
 
 class EmptyLoadError(RuntimeError):
@@ -28,9 +31,39 @@ def require_records(records: DataFrame, period: str = "") -> None:
 
 
 def one_per_key(incoming: DataFrame) -> DataFrame:
-    """The latest row per key within a load; equal loads are settled by content."""
+    """The latest row per key within a load; equal loads are settled by content.
+
+    Which keys occur more than once is found on the keys alone, so only their rows are shuffled.
+    ``incoming`` is read several times and should be a written table.
+    """
+    counts = incoming.groupBy(F.col(KEY).alias("_repeated")).agg(F.count("*").alias("_n"))
+    repeated, seen = materialize_measured(counts.where("_n > 1").select("_repeated"), "repeated", n=F.count("*"))
+    if not seen["n"]:
+        return incoming
+    is_repeated = F.col(KEY).eqNullSafe(F.col("_repeated"))
     rest = [c for c in incoming.columns if c not in (KEY, "_dlt_load_id", "_dlt_id")]
-    return latest_version(incoming, KEY, "_dlt_load_id", "_dlt_id", *rest)
+    several = incoming.join(repeated, is_repeated, "left_semi")
+    latest = latest_version(several, KEY, "_dlt_load_id", "_dlt_id", *rest)
+    return incoming.join(repeated, is_repeated, "left_anti").unionByName(latest)
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, n_keys: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that surely have none of the keys, and all others, without a shuffle of ``rows``.
+
+    Hashes of the keys mark a bit map that is broadcast: 16 bits a key, and ``KEY_BITS`` (16 MB) at
+    most. Beyond that more rows without a key are among the others, up to all of them.
+    """
+    bits = min(KEY_BITS, max(2**15, 2 ** (16 * max(n_keys, 1)).bit_length()))
+    place = F.pmod(F.xxhash64(KEY), F.lit(bits))
+    marks = keys.select(F.bitmap_bucket_number(place).alias("_part"), F.bitmap_bit_position(place).alias("_bit"))
+    # dealt by part first: partial maps of every task would be larger than the marks
+    maps = marks.repartition("_part").groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    bit = F.bitmap_bit_position(place)
+    octet = F.conv(F.hex(F.substring("_map", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("_part"), "left").withColumn(
+        "_marked", F.coalesce(F.getbit(octet, (bit % 8).cast("int")) == 1, F.lit(False))
+    )
+    return tuple(marked.where(wanted).select(rows.columns) for wanted in (~F.col("_marked"), F.col("_marked")))
 
 
 def merge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -61,14 +94,16 @@ def upsert(incoming: DataFrame, table: str = BRONZE_TABLE, load_id: str = "", on
     its transactions lies; they are returned, and noted in the ledger before they change. Their
     new content is written to folders of its own, and the table's next version points to these
     and to the untouched months. Readers see the old version until that takes over the name.
+    Rows of these months that the load surely leaves alone are copied by the tasks that read them;
+    only the others are shuffled, and all rows of a month that lies in many small files.
     ``incoming`` is read several times and should be a written table. Writers wait for one another.
     With ``once``, a load whose id the ledger has as done is not taken again.
     """
     spark = incoming.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
     incoming = incoming.withColumn(PARTITION, bronze_partition())
-    low, high, keyless = incoming.agg(
-        F.min(KEY), F.max(KEY), F.count_if(F.col(KEY).isNull())
+    low, high, keyless, n_rows = incoming.agg(
+        F.min(KEY), F.max(KEY), F.count_if(F.col(KEY).isNull()), F.count("*")
     ).first()
     if keyless:
         raise MissingKeyError(f"{keyless} records of the load have no {KEY}")
@@ -81,7 +116,7 @@ def upsert(incoming: DataFrame, table: str = BRONZE_TABLE, load_id: str = "", on
             current = [spark.table(table)] if spark.catalog.tableExists(table) else []
             merged = merge(current[0], incoming) if current else one_per_key(incoming)
             touched = loaded | (_months(current[0]) if current else set())
-            months = None
+            months, settled = None, None
         else:
             current = spark.table(table)
             # older versions elsewhere: only ids are read, and only row groups in the load's id range
@@ -91,8 +126,13 @@ def upsert(incoming: DataFrame, table: str = BRONZE_TABLE, load_id: str = "", on
                 .join(incoming.select(KEY).distinct(), KEY, "left_semi")
             )
             touched = months = loaded | _months(elsewhere)
-            merged = merge(current.where(F.col(PARTITION).isin(*touched)), incoming)
-        publication.prepare_months(merged, table, months, KEY)
+            settled, others = split_by_keys(current.where(F.col(PARTITION).isin(*touched)), incoming, n_rows)
+            if scattered := publication.scattered_months(spark, table) & touched:
+                is_scattered = F.col(PARTITION).isin(*scattered)
+                others = others.unionByName(settled.where(is_scattered))
+                settled = settled.where(~is_scattered)
+            merged = merge(others, incoming)
+        publication.prepare_months(merged, table, months, KEY, gathered=settled)
         entry = ledger.begin(spark, table, load_id, touched)
         _publish(spark, publication.open_release(spark, [table]), table)
         ledger.finish(spark, table, entry, load_id)

@@ -18,6 +18,10 @@ from cardwarden.operators.lookup import attach_attributes, hot_keys
 from cardwarden.operators.staging import MONTH
 
 
+#: So many agencies can be sent to all executors: some 10 MB.
+FEW_AGENCIES = 50_000
+
+
 def _partition(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c == MONTH]
 
@@ -37,6 +41,15 @@ def fact_silver(staging: DataFrame) -> DataFrame:
     )
 
 
+def broadcast_if_few(*dims: DataFrame) -> tuple[bool, list[DataFrame]]:
+    """Whether the agencies, the first of the written tables, are few, and then all tables marked for a broadcast.
+
+    The other tables have no more rows than there are agencies.
+    """
+    few = dims[0].limit(FEW_AGENCIES + 1).count() <= FEW_AGENCIES
+    return few, [F.broadcast(dim) if few else dim for dim in dims]
+
+
 def with_agency_name(fact: DataFrame, orgaos: DataFrame) -> DataFrame:
     """Fact rows that have an agency, with the name of its superior agency."""
     return fact.join(orgaos.select("sk_orgao", "nome_orgao_superior"), "sk_orgao")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.sources.scratch import materialize
+from cardwarden.sources.scratch import materialize_rows
 
 HOT_KEYS = 1000
 
@@ -30,7 +30,7 @@ def attach_group_count(
     other side, the optimizer would turn it into a filter and shuffle by the bare key.
     """
     counts = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias("_n"))
-    counts = materialize(counts, f"counts_{key}")
+    counts = materialize_rows(counts, f"counts_{key}")
     hot = counts.orderBy(F.desc("_n"), key).limit(hot_keys)
     hot = hot.select(F.col(key).alias("_hot_key"), F.col("_n").alias("_hot_n"))
     tagged = F.concat(F.lit("="), F.col(key).cast("string"))
@@ -50,7 +50,7 @@ def hot_keys(rows: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> dict[st
     """
     pairs = [F.struct(F.lit(k).alias("column_name"), F.col(k).cast("string").alias("_hot_key")) for k in keys]
     counts = rows.select(F.inline(F.array(*pairs))).where(F.col("_hot_key").isNotNull())
-    counts = materialize(counts.groupBy("column_name", "_hot_key").agg(F.count("*").alias("_n")), "key_counts")
+    counts = materialize_rows(counts.groupBy("column_name", "_hot_key").agg(F.count("*").alias("_n")), "key_counts")
     return {
         k: counts.where(F.col("column_name") == k).orderBy(F.desc("_n"), "_hot_key").limit(limit).select("_hot_key")
         for k in keys

@@ -9,15 +9,20 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.operators.staging import PARTITION
 from cardwarden.sources import files
+from cardwarden.sources.scratch import CODEC, short_methods
 
 #: Partitions that one statement adds.
 AT_ONCE = 100
+#: A month may lie in so many files, and in one more for each of so many bytes.
+FEW_FILES = 8
+FILE_BYTES = 2**24
 
 
 def next_name(table: str) -> str:
@@ -44,33 +49,55 @@ def is_by_months(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "EXTERNAL"
 
 
-def by_month(rows: DataFrame, column: str, *order: str) -> DataFrame:
+def scattered_months(spark: SparkSession, table: str) -> set[str]:
+    """Months that lie in many files which are small: in more than their bytes and some loads explain."""
+    found = set()
+    for month, path in month_folders(spark, table).items():
+        n_files, n_bytes = files.extent(spark, path)
+        if n_files > FEW_FILES + n_bytes / FILE_BYTES:
+            found.add(month)
+    return found
+
+
+def by_month(rows: DataFrame | None, column: str, *order: str, gathered: DataFrame | None = None) -> DataFrame:
     """Rows gathered by month for writing: few files a month, and a big month in many tasks.
 
     Files are sorted by ``order``, so that a reader's limits on it skip parts of a month.
+    ``gathered`` are rows read from a table by months with the same months and no shuffle since:
+    they are not shuffled again, as a task that read few months writes few files.
     """
-    return rows.hint("rebalance", F.col(column)).sortWithinPartitions(column, *order)
+    parts = [] if rows is None else [rows.hint("rebalance", F.col(column))]
+    if gathered is not None:
+        parts.append(gathered)
+    return reduce(DataFrame.unionByName, parts).sortWithinPartitions(column, *order)
 
 
 def prepare(df: DataFrame, table: str) -> DataFrame:
     """The next version of a table, whole."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {next_name(table)}")
-    df.write.saveAsTable(next_name(table))
+    df.write.options(**CODEC).saveAsTable(next_name(table))
     return spark.table(next_name(table))
 
 
 def prepare_months(
-    df: DataFrame, table: str, months: set[str] | None, *order: str, column: str = PARTITION
+    df: DataFrame | None,
+    table: str,
+    months: set[str] | None,
+    *order: str,
+    column: str = PARTITION,
+    gathered: DataFrame | None = None,
 ) -> DataFrame:
     """The next version of a table by months: ``df`` in place of ``months``, all others as they are.
 
     Its months are the values of ``column``.
 
-    ``df`` holds the whole new content of these months; a month without rows leaves the table.
-    None stands for all months. Files are written once; the other months are only pointed to.
+    ``df`` and ``gathered`` (see :func:`by_month`) hold the whole new content of these months; a
+    month without rows leaves the table. None stands for all months. Files are written once; the
+    other months are only pointed to.
     """
-    spark = df.sparkSession
+    rows = by_month(df, column, *order, gathered=gathered)
+    spark = rows.sparkSession
     coming, root = next_name(table), _folder(spark, table, "data")
     spark.sql(f"DROP TABLE IF EXISTS {coming}")
     kept: dict[str, str] = {}
@@ -80,14 +107,15 @@ def prepare_months(
     elif spark.catalog.tableExists(table) and months is not None:
         raise ValueError(f"{table} is not a table of month folders; prepare all its months")
     folder = f"{root}/{uuid.uuid4().hex}"
-    by_month(df, column, *order).write.partitionBy(column).parquet(folder)
+    with short_methods(spark):
+        rows.write.options(**CODEC).partitionBy(column).parquet(folder)
     pointers = {m: path for m, path in kept.items() if months is not None and m not in months}
     for path in files.children(spark, folder):
         name = path.rsplit("/", 1)[1]
         if name.startswith(f"{column}="):
             pointers[name.removeprefix(f"{column}=")] = path
-    fields = [f for f in df.schema.fields if f.name != column]
-    empty = spark.createDataFrame([], type(df.schema)([*fields, df.schema[column]]))
+    fields = [f for f in rows.schema.fields if f.name != column]
+    empty = spark.createDataFrame([], type(rows.schema)([*fields, rows.schema[column]]))
     empty.write.option("path", f"{folder}/_table").partitionBy(column).saveAsTable(coming)
     parts = [f"PARTITION ({column} = '{m}') LOCATION '{path}'" for m, path in sorted(pointers.items())]
     for start in range(0, len(parts), AT_ONCE):

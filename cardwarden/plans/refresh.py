@@ -25,7 +25,7 @@ from cardwarden.plans import ledger, publication, warehouse
 from cardwarden.plans.lease import writer_lease
 from cardwarden.sources.landing import page_report, planned_months, read_pages, until_first_gap
 from cardwarden.sources.sample import read_sample
-from cardwarden.sources.scratch import materialize, materialize_measured, scratch_run
+from cardwarden.sources.scratch import materialize_measured, materialize_rows, scratch_run
 
 log = logging.getLogger(__name__)
 
@@ -83,7 +83,7 @@ def ingest_landing(spark: SparkSession, root: str, settings: Settings) -> None:
     page = {"_mes": "mes", "_pagina": "pagina"}  # a leading _ lets columns travel along
     raw = pages.withColumnsRenamed({name: carried for carried, name in page.items()})
     flat = flatten(normalize_records(raw), settings.load_id, keep=list(page)).withColumnsRenamed(page)
-    landed = materialize(flat, "landed")
+    landed = materialize_rows(flat, "landed")
     report = page_report(landed)
     good = until_first_gap(landed, report).drop("mes", "pagina")
     bronze.require_records(good, f"{first} to {last}")
@@ -93,7 +93,7 @@ def ingest_landing(spark: SparkSession, root: str, settings: Settings) -> None:
 
 def ingest_sample(spark: SparkSession, settings: Settings) -> None:
     """Upsert the built-in sample; its records are not normalised."""
-    rows = materialize(flatten(read_sample(spark), settings.load_id), "sample")
+    rows = materialize_rows(flatten(read_sample(spark), settings.load_id), "sample")
     bronze.upsert(rows, settings.at(bronze.BRONZE_TABLE), settings.load_id)
 
 
@@ -157,15 +157,19 @@ def build(spark: SparkSession, settings: Settings) -> Build:
         tables.append(settings.at(warehouse.TABLES.get(model, model)))
         return publication.prepare(df, tables[-1])
 
-    def coming_months(model: str, df: DataFrame, only: set[str] | None, *order: str) -> DataFrame:
+    def coming_months(
+        model: str, df: DataFrame | None, only: set[str] | None, *order: str, gathered: DataFrame | None = None
+    ) -> DataFrame:
         tables.append(settings.at(warehouse.TABLES[model]))
-        return publication.prepare_months(df, tables[-1], only, *order, column=MONTH)
+        return publication.prepare_months(df, tables[-1], only, *order, column=MONTH, gathered=gathered)
 
     def touched(df: DataFrame, only: set[str] | None, column: str = MONTH) -> DataFrame:
         return df if only is None else df.where(F.col(column).isin(*only))
 
     source = touched(spark.table(settings.at(bronze.BRONZE_TABLE)), months, PARTITION)
-    staging = coming_months("stg_cpgf_despesas", stage(source, settings.cutoff, one_version=True), months, "id_transacao")
+    # staging and facts keep their source's months and shuffle nothing, unless the agencies are too many to broadcast
+    staged = stage(source, settings.cutoff, one_version=True)
+    staging = coming_months("stg_cpgf_despesas", None, months, "id_transacao", gathered=staged)
     models = {"stg_cpgf_despesas": staging}
     silver = {
         "dim_data": calendar.calendar(spark, settings.calendar_start, settings.calendar_end),
@@ -175,7 +179,7 @@ def build(spark: SparkSession, settings: Settings) -> Build:
     }
     models.update({name: coming(name, df) for name, df in silver.items()})
     fact = facts.fact_silver(touched(staging, months))
-    models["fct_gastos_cartao"] = coming_months("fct_gastos_cartao", fact, months, "sk_data")
+    models["fct_gastos_cartao"] = coming_months("fct_gastos_cartao", None, months, "sk_data", gathered=fact)
     gold = {
         "gold_dim_data": models["dim_data"],
         "gold_dim_orgaos": models["dim_orgaos"],
@@ -193,8 +197,11 @@ def build(spark: SparkSession, settings: Settings) -> Build:
     gold_months = months
     if months is not None:
         gold_months = months | _months_of_changed_agencies(named, stats, spark.table(settings.at(warehouse.STATS_TABLE)))
+    few, (agencies, means) = facts.broadcast_if_few(models["gold_dim_orgaos"], stats)
+    gold_source = touched(models["fct_gastos_cartao"], gold_months)
+    gold_fact = facts.fact_gold(facts.with_agency_name(gold_source, agencies), means)
     models["gold_fct_gastos_cartao"] = coming_months(
-        "gold_fct_gastos_cartao", facts.fact_gold(touched(named, gold_months), stats), gold_months, "sk_data"
+        "gold_fct_gastos_cartao", None if few else gold_fact, gold_months, "sk_data", gathered=gold_fact if few else None
     )
     return Build(models, tables, months, loads)
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from cardwarden.operators.quality import union_all
 from cardwarden.sources.schemas import SCORES
-from cardwarden.sources.scratch import materialize_measured
+from cardwarden.sources.scratch import CODEC, materialize_measured
 
 LAYERS = ["bronze", "silver", "gold"]
 # fixed values: table of each model; gold models lose their prefix
@@ -61,7 +61,7 @@ def publish(df: DataFrame, table: str) -> DataFrame:
     spark = df.sparkSession
     recover(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}__next")
-    df.write.saveAsTable(f"{table}__next")
+    df.write.options(**CODEC).saveAsTable(f"{table}__next")
     _swap(spark, table)
     spark.catalog.refreshTable(table)
     return spark.table(table)

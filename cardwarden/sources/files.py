@@ -21,6 +21,12 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.listStatus(path))
 
 
+def extent(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Number of files in a folder and their bytes."""
+    found = file_system(spark, folder).getContentSummary(_path(spark, folder))
+    return found.getFileCount(), found.getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     file_system(spark, path).delete(_path(spark, path), True)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwarden.functions.periods import month_number, month_text, normalize_period
 from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
-from cardwarden.sources.scratch import materialize
+from cardwarden.sources.scratch import materialize_rows
 
 log = logging.getLogger(__name__)
 
@@ -67,7 +67,7 @@ def page_report(records: DataFrame) -> DataFrame:
     """
     pages = records.groupBy("mes", "pagina").agg(F.count("*").alias("n_rows"))
     place = F.row_number().over(W.partitionBy("mes").orderBy("pagina"))
-    return materialize(pages.withColumn("kept", F.col("pagina") == place), "pages")
+    return materialize_rows(pages.withColumn("kept", F.col("pagina") == place), "pages")
 
 
 def until_first_gap(records: DataFrame, report: DataFrame | None = None) -> DataFrame:

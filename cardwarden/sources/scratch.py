@@ -12,6 +12,9 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Codec of the card tables: it halves their hexadecimal keys and ids, which the default leaves as they are.
+CODEC = {"compression": "zstd"}
+METHOD_LIMIT, METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -52,7 +55,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage in a way that survives lost executors, keeps column pruning for later
@@ -60,17 +63,37 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside get no generated method that is too long for the JVM to compile.
+
+    The wide parsing projections are; Spark then splits them. A smaller limit of the session stays.
+    """
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, min(int(before), METHOD_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
+def materialize_rows(df: DataFrame, label: str) -> DataFrame:
+    """:func:`materialize` for card tables: packed, and their projections compiled."""
+    with short_methods(df.sparkSession):
+        return materialize(df, label, **CODEC)
+
+
 def materialize_measured(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
-    """Like :func:`materialize`, with aggregates over all rows that are taken while they are written.
+    """Like :func:`materialize_rows`, with aggregates over all rows that are taken while they are written.
 
     Saves a pass over the copy for each of them. A task that is run again counts once.
     """
     seen = Observation()
-    written = materialize(df.observe(seen, *[m.alias(name) for name, m in measures.items()]), label)
+    written = materialize_rows(df.observe(seen, *[m.alias(name) for name, m in measures.items()]), label)
     return written, seen.get
 
 

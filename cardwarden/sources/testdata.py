@@ -54,14 +54,15 @@ def orders_with_parties(spark: SparkSession, sf_dir: str, loads: tuple = LOADS)
         .otherwise(F.array(F.lit(1)))
     )
     wanted = F.array(*[F.lit(n) for n in loads])
+    found = F.array_intersect(load, wanted)
     joined = (
-        spread(orders)
+        spread(orders.where(F.size(found) > 0))  # only orders of the wanted loads are dealt out and joined
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(suppliers, F.col("o_suppkey") == F.col("s_suppkey"))
     )
-    copies = joined.withColumn("load", F.explode(F.array_intersect(load, wanted)))
+    copies = joined.withColumn("load", F.explode(found))
     return copies.withColumns({
         "iso": F.expr("cast(if(load = 2 and k % 20 = 0, add_months(o_date, 1), o_date) as string)"),
         "cents": F.expr("""

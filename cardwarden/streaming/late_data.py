@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cardwarden.operators import bronze
 from cardwarden.operators.normalize import flatten, normalize_records
 from cardwarden.sources.schemas import LANDING_PARTITIONS, RAW_RECORD
-from cardwarden.sources.scratch import materialize, scratch_run
+from cardwarden.sources.scratch import materialize_rows, scratch_run
 
 
 def upsert_batch(load_prefix: str, table: str = bronze.BRONZE_TABLE):
@@ -24,7 +24,7 @@ def upsert_batch(load_prefix: str, table: str = bronze.BRONZE_TABLE):
     def write(batch: DataFrame, number: int) -> None:
         load_id = f"{load_prefix}.{number:09d}"
         with scratch_run(batch.sparkSession):
-            rows = materialize(flatten(normalize_records(batch.drop("mes", "pagina")), load_id), "batch")
+            rows = materialize_rows(flatten(normalize_records(batch.drop("mes", "pagina")), load_id), "batch")
             if not rows.isEmpty():
                 bronze.upsert(rows, table, load_id, once=True)
 
