@@ -22,6 +22,12 @@ from cardwarden.fixed_values import (
 from cardwarden.functions.numbers import round4_even
 
 
+#: What :func:`flag` reads of a scored row.
+FLAGGED = [
+    "id_transacao", "anomaly_score", "fl_fim_semana", "z_score", "freq_favorecido", "vl_transacao",
+]
+
+
 def scale_scores(rows: DataFrame, span: tuple[float, float] | None = None) -> DataFrame:
     """Raw scores between 0 and 1 in four decimals; all equal gives 0.0 throughout.
 

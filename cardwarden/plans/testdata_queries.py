@@ -94,9 +94,9 @@ def gold_fact(staging: DataFrame, orgaos: DataFrame | None = None) -> DataFrame:
     return facts.fact_gold(named, materialize_rows(facts.agency_stats(named), "agency_stats"))
 
 
-def gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_rows(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None) -> DataFrame:
     """Gold rows ready for features; some agency means are blanked to use the overall mean."""
-    fact = gold_fact(written_staging(spark, sf_dir))
+    fact = fact or gold_fact(written_staging(spark, sf_dir))
     rows = gold_features(fact, feed_calendar(spark))
     k = F.col("id_transacao")
     mean = F.when(k % 103 == 0, F.lit(0.0)).when(k % 101 != 0, F.col("media_orgao"))
@@ -112,9 +112,10 @@ def given_scores(features: DataFrame) -> DataFrame:
     )
 
 
-def flagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = feature_frame(gold_rows(spark, sf_dir))
-    scored = materialize_rows(scoring.scale_scores(given_scores(features)), "scored")
+def flagged_rows(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None) -> DataFrame:
+    """Scores and flags of the feed's gold fact, or of one that is written already."""
+    features = feature_frame(gold_rows(spark, sf_dir, fact))
+    scored = materialize_rows(scoring.scale_scores(given_scores(features)).select(scoring.FLAGGED), "scored")
     return scoring.flag(scored, RUN_TS)
 
 
@@ -478,19 +479,21 @@ def q_severity_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dim_nivel_alerta(spark).join(per_level, "ordem_severidade", "left")
 
 
-def star(spark: SparkSession, sf_dir: str, scores: DataFrame | None = None) -> DataFrame:
+def star(spark: SparkSession, sf_dir: str, scored: bool = False) -> DataFrame:
+    """The star view; its scores are made of the same gold fact, which is written once."""
     staging = written_staging(spark, sf_dir)
     orgaos = materialize_rows(dimensions.dim_orgaos(staging), "orgaos")
     favorecidos = materialize_rows(dimensions.dim_favorecidos(staging), "favorecidos")
     portadores = materialize_rows(dimensions.dim_portadores(staging), "portadores")
+    gold = materialize_rows(gold_fact(staging, orgaos), "gold")
     return facts.star_view(
-        materialize_rows(gold_fact(staging, orgaos), "gold"),
+        gold,
         feed_calendar(spark),
         orgaos,
         dimensions.without_documents(favorecidos, "sk_favorecido", "nome_favorecido"),
         dimensions.without_documents(portadores, "sk_portador", "nome_portador"),
         dimensions.dim_nivel_alerta(spark),
-        scores,
+        flagged_rows(spark, sf_dir, gold).drop("dt_processamento") if scored else None,
     )
 
 
@@ -553,7 +556,7 @@ def q_layer_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         before = materialize_rows(layer_summary(spark, namespace=settings.namespace), "before")
         fact, days = (spark.table(settings.at(f"gold.{t}")) for t in ("fct_gastos_cartao", "dim_data"))
         features = feature_frame(materialize_rows(gold_features(fact, days), "gold_features"))
-        scored = materialize_rows(scoring.scale_scores(given_scores(features)), "scored")
+        scored = materialize_rows(scoring.scale_scores(given_scores(features)).select(scoring.FLAGGED), "scored")
         save_scores(scoring.flag(scored, RUN_TS), settings.at(SCORE_TABLE))
         after = materialize_rows(layer_summary(spark, namespace=settings.namespace), "after")
         return before.select(F.lit(False).alias("com_scores"), "*").unionByName(after.select(F.lit(True).alias("com_scores"), "*"))
@@ -582,7 +585,7 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_star_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star view with the score satellite."""
-    return star(spark, sf_dir, q_score_tail(spark, sf_dir).drop("dt_processamento"))
+    return star(spark, sf_dir, scored=True)
 
 
 def q_score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -644,9 +647,12 @@ def q_iforest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- checks ------------------------------------------------------------------------------
 
 
-def defective_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Models with planted defects, so that every check has something to find."""
-    staging = written_staging(spark, sf_dir)
+def defective_models(staging: DataFrame) -> dict[str, DataFrame]:
+    """Models with planted defects, so that every check has something to find.
+
+    They are written, as several checks read each of them.
+    """
+    spark = staging.sparkSession
     k = F.col("id_transacao")
     fact = facts.fact_silver(staging)
     copies = F.when(k % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
@@ -655,31 +661,32 @@ def defective_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ).drop("_copy")
     favorecidos = dimensions.dim_favorecidos(staging)
     portadores = dimensions.dim_portadores(staging)
-    return {
+    models = {
         "fct_gastos_cartao": fact,
         "dim_data": cal.calendar(spark, "1998-01-01", CALENDAR_END),
         "dim_orgaos": dimensions.dim_orgaos(staging),
         "dim_favorecidos": favorecidos.where(~F.col("nome_favorecido").endswith("7")),
         "dim_portadores": portadores.where(~F.col("nome_portador").endswith("3")),
     }
+    return {name: materialize_rows(model, name) for name, model in models.items()}
 
 
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = defective_models(spark, sf_dir)
+    models = defective_models(written_staging(spark, sf_dir))
     return quality.union_all([
         quality.check_not_null(df, name, quality.NOT_NULL[name]) for name, df in models.items()
     ])
 
 
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = defective_models(spark, sf_dir)
+    models = defective_models(written_staging(spark, sf_dir))
     return quality.union_all([
         quality.check_unique(df, name, quality.UNIQUE[name]) for name, df in models.items()
     ])
 
 
 def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = defective_models(spark, sf_dir)
+    models = defective_models(written_staging(spark, sf_dir))
     child = "fct_gastos_cartao"
     return quality.union_all([
         quality.check_relationship(models[child], child, column, models[parent])
@@ -689,8 +696,8 @@ def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks over silver and gold with planted defects."""
-    models = defective_models(spark, sf_dir)
     staging = written_staging(spark, sf_dir)
+    models = defective_models(staging)
     k = F.col("id_transacao")
     gold = gold_fact(staging).withColumn("z_score", F.when(k % 91 != 0, F.col("z_score")))
     levels = dimensions.dim_nivel_alerta(spark)

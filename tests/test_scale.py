@@ -102,3 +102,11 @@ def test_many_small_loads_leave_few_files(spark, database, monkeypatch):
 def test_landed_pages_are_packed(spark):
     path = queries.land_pages(spark, "/root/testdata/sf0.001")
     assert all(f.endswith(".json.gz") for f in spark.read.text(path).inputFiles())
+
+
+@pytest.mark.parametrize("query", ["dq_all", "star_scored"])
+def test_the_feed_is_staged_once(spark, monkeypatch, query):
+    built, staged = [], queries.staged
+    monkeypatch.setattr(queries, "staged", lambda *args: built.append(args) or staged(*args))
+    queries.QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert len(built) == 1
