@@ -45,16 +45,20 @@ def sample_rows(matrix: DataFrame, n_rows: int, spec: ForestSpec, key: str) -> D
 
     A tree takes the rows of the smallest hashes of (key, tree). Each row keeps only the trees
     for which its hash is below a bound that lets through about twice the sample, so that no
-    map task sends more than its share and a tree's rows are a bounded group.
+    map task sends more than its share and a tree's rows are a bounded group. Of many rows most
+    have no such tree; they are dropped on the bare hashes, before anything is built for them.
     """
     columns = [key, *MODEL_COLUMNS]
     share = min(1.0, 2.0 * spec.sample / max(n_rows, 1))
     numbers = F.sequence(F.lit(0), F.lit(spec.trees - 1))
-    hashed = F.transform(
-        numbers, lambda t: F.struct(t.alias("tree"), F.xxhash64(F.col(key), t, F.lit(spec.seed)).alias("_h"))
-    )
+
+    def drawn(tree: Column) -> Column:
+        return F.xxhash64(F.col(key), tree, F.lit(spec.seed))
+
+    hashed = F.transform(numbers, lambda t: F.struct(t.alias("tree"), drawn(t).alias("_h")))
     if share < 1.0:
         bound = int(-(2**63) + share * 2**64)
+        matrix = matrix.where(F.exists(numbers, lambda t: drawn(t) < bound))
         hashed = F.filter(hashed, lambda x: x["_h"] < bound)
     chosen = matrix.select(*columns, F.explode(hashed).alias("_t")).select("_t.*", *columns)
     per_tree = W.partitionBy("tree").orderBy("_h", key)

@@ -3,11 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardwarden.operators import bronze
+from cardwarden.operators import bronze, iforest
 from cardwarden.plans import publication
 from cardwarden.plans import testdata_queries as queries
 from cardwarden.sources import files
 from cardwarden.sources.landing import until_first_gap
+from cardwarden.sources.scratch import METHOD_BYTES, METHOD_LIMIT, short_methods
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -110,3 +111,21 @@ def test_the_feed_is_staged_once(spark, monkeypatch, query):
     monkeypatch.setattr(queries, "staged", lambda *args: built.append(args) or staged(*args))
     queries.QUERIES[query](spark, "/root/testdata/sf0.001")
     assert len(built) == 1
+
+
+def test_long_methods_are_split_while_a_copy_is_written(spark):
+    before = spark.conf.get(METHOD_LIMIT)
+    spark.conf.set(METHOD_LIMIT, 65535)
+    try:
+        with short_methods(spark):
+            assert int(spark.conf.get(METHOD_LIMIT)) == METHOD_BYTES
+        assert int(spark.conf.get(METHOD_LIMIT)) == 65535
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_rows_of_no_tree_are_dropped_before_they_are_unfolded(spark):
+    matrix = spark.range(100_000).select("id", *[F.col("id").cast("double").alias(c) for c in iforest.MODEL_COLUMNS])
+    sample = iforest.sample_rows(matrix, 100_000, iforest.ForestSpec(trees=3, sample=20), "id")
+    assert "exists(" in plan(sample)
+    assert {r["tree"]: r["count"] for r in sample.groupBy("tree").count().collect()} == {0: 20, 1: 20, 2: 20}
