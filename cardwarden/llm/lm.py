@@ -7,6 +7,9 @@ words, for counts, and once for each of its distinct bigrams, for weights; each
 bigrams adds up what the chunks have counted, builds its part of the model and answers. So the
 model is never in one place, and neither words nor bigrams of any frequency are hot: a chunk
 sends each once, and the successors of a frequent context lie in several shards.
+
+A chunk meets the answers twice, but it and the counts of its words are shuffled once: both steps
+are one query over the same exchange, which Spark then reuses.
 """
 
 from __future__ import annotations
@@ -33,18 +36,21 @@ PRIOR = 100.0
 #: Number of the mark before a text; words have numbers from 1.
 BEGIN = 0
 END_WORD = b""
-CHUNK = "chunk bigint, ids binary, known binary, held binary, sizes binary, tokens binary, words binary"
+CHUNK = "chunk bigint, ids binary, known binary, held binary, sizes binary, tokens binary, dealt binary, words binary"
+#: Columns of a chunk that its later steps need; the words themselves are not among them.
+SENT = ("ids", "known", "held", "sizes", "tokens")
 ASKED = "shard int, chunk bigint, entries binary"
 ANSWER = "shard int, chunk bigint, kind int, entries binary, n bigint, v bigint"
 
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Columns of one length, each squeezed to the bytes its values need."""
+    """Columns of one length, each squeezed to the bytes its values need, bytes of equal weight side by side."""
     parts = [np.array([len(columns[0]), len(columns)], "<i8").tobytes()]
     for column in columns:
         top = int(column.max()) if len(column) else 0
-        width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
-        parts += [bytes([width]), column.astype(f"<u{width}").tobytes()]
+        width = max(1, (top.bit_length() + 7) // 8)
+        raw = np.ascontiguousarray(column, "<i8").view("u1").reshape(-1, 8)
+        parts += [bytes([width]), raw[:, :width].T.tobytes()]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -54,7 +60,9 @@ def unpack(data: bytes) -> list[np.ndarray]:
     at, out = 16, []
     for _ in range(columns):
         width = raw[at]
-        out.append(np.frombuffer(raw, f"<u{width}", n, at + 1).astype(np.int64))
+        wide = np.zeros((n, 8), "u1")
+        wide[:, :width] = np.frombuffer(raw, "u1", width * n, at + 1).reshape(width, n).T
+        out.append(wide.view("<i8").ravel())
         at += 1 + width * n
     return out
 
@@ -68,7 +76,7 @@ def unpack_words(data: bytes, n: int) -> list[bytes]:
 
 
 class Chunk:
-    """Texts as numbers of the chunk's own words; number 0 is the end of a text."""
+    """Texts as numbers of the chunk's own words, which are sorted by shard and bytes."""
 
     def __init__(self, row):
         self.number = int(row.chunk)
@@ -78,21 +86,18 @@ class Chunk:
         self.sizes = np.frombuffer(row.sizes, "<i8")  # with the end
         self.tokens = unpack(row.tokens)[0]
         self.n_words = int(self.tokens.max()) + 1
-        self.packed_words = row.words
-
-    def words(self) -> list[bytes]:
-        return unpack_words(self.packed_words, self.n_words)
 
     def training(self) -> np.ndarray:
         return np.repeat(~self.held, self.sizes)
 
-    def word_entries(self, shards: int) -> tuple[np.ndarray, np.ndarray]:
-        """The chunk's words in the order in which they are sent, and their shards."""
-        import xxhash
 
-        shard = np.array([xxhash.xxh64_intdigest(w) % shards for w in self.words()], np.int64)
-        order = np.argsort(shard, kind="stable")
-        return order, shard[order]
+def word_order(words: list[bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words by shard and bytes, and how many each shard has."""
+    import xxhash
+
+    shard = np.array([xxhash.xxh64_intdigest(w) % shards for w in words], np.int64)
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    return order[np.argsort(shard[order], kind="stable")], np.bincount(shard, minlength=shards)
 
 
 def split_shard(context: np.ndarray, word: np.ndarray, context_count: np.ndarray, total: int, shards: int) -> np.ndarray:
@@ -109,13 +114,12 @@ def split_shard(context: np.ndarray, word: np.ndarray, context_count: np.ndarray
 class Resolved:
     """A chunk with the global numbers and counts of its words, and its distinct bigrams."""
 
-    def __init__(self, chunk: Chunk, answers: pd.DataFrame, n: int, shards: int):
-        self.chunk = chunk
-        order, _ = chunk.word_entries(shards)
-        parts = [unpack(e) for e in answers.sort_values("shard")["entries"]]
-        number, seen = (np.concatenate(c) for c in zip(*parts, strict=True))
-        self.number, self.count = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        self.number[order], self.count[order] = number, seen
+    def __init__(self, group: pd.DataFrame, n: int, n_begin: int, shards: int):
+        """``group`` is the chunk's row and the answers about its words; ``n_begin`` texts are learned from."""
+        self.chunk = chunk = Chunk(next(group[group["shard"] < 0].itertuples(index=False)))
+        answers = group[group["shard"] >= 0].sort_values("shard")
+        parts = [word_answer(e, s, shards) for e, s in zip(answers["entries"], answers["shard"], strict=True)]
+        self.number, self.count = (np.concatenate(c) for c in zip(*parts, strict=True))
         tokens = chunk.tokens
         before = np.empty(len(tokens), np.int64)
         before[1:] = tokens[:-1] + 1
@@ -124,8 +128,7 @@ class Resolved:
         distinct, self.pair_of = np.unique(pairs, return_inverse=True)
         self.context, self.word = distinct // chunk.n_words - 1, distinct % chunk.n_words
         begin = self.context < 0
-        self.n_begin = int(answers["v"].iloc[0])  # training texts
-        self.context_count = np.where(begin, self.n_begin, self.count[self.context])
+        self.context_count = np.where(begin, n_begin, self.count[self.context])
         context, word = np.where(begin, BEGIN, self.number[self.context]), self.number[self.word]
         shard = split_shard(context, word, self.context_count, n, shards)
         self.order = np.lexsort((word, context, shard))
@@ -136,8 +139,14 @@ class Resolved:
         return np.bincount(self.pair_of[self.chunk.training()], minlength=len(self.order))[self.order]
 
 
-def add_words(group: pd.DataFrame, number: int, shards: int) -> pd.DataFrame:
-    """Counts of a shard's words over all chunks, and a number for each."""
+def word_answer(data: bytes, shard: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and counts of a chunk's words of one shard."""
+    step, seen = unpack(data)
+    return np.cumsum(step) * shards + shard + 1, seen
+
+
+def add_words(group: pd.DataFrame, number: int) -> pd.DataFrame:
+    """Counts of a shard's words over all chunks, and a number for each by its rank in the shard."""
     total: dict[bytes, int] = defaultdict(int)
     asked = []
     for chunk, data in zip(group["chunk"], group["entries"], strict=True):
@@ -150,9 +159,9 @@ def add_words(group: pd.DataFrame, number: int, shards: int) -> pd.DataFrame:
     rank = {word: i for i, word in enumerate(sorted(total))}
     rows = []
     for chunk, words in asked:
-        own = np.array([rank[w] for w in words], np.int64) * shards + number + 1
+        own = np.array([rank[w] for w in words], np.int64)  # ascending, as a chunk's words are
         seen = np.fromiter((total[w] for w in words), np.int64, len(words))
-        rows.append((number, chunk, 0, pack(own, seen), 0, 0))
+        rows.append((number, chunk, 0, pack(np.diff(own, prepend=0), seen), 0, 0))
     n, v = sum(total.values()), sum(c > 0 for c in total.values())
     rows.append((number, -1, 1, b"", n, v))
     if END_WORD in total:
@@ -161,18 +170,23 @@ def add_words(group: pd.DataFrame, number: int, shards: int) -> pd.DataFrame:
 
 
 def bigram_entries(context: np.ndarray, word: np.ndarray, counts: np.ndarray, context_count: np.ndarray) -> bytes:
-    """Sorted bigrams: contexts once with their counts and number of successors."""
+    """Sorted bigrams: contexts once with their counts and number of successors; numbers as steps."""
     first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
     sizes = np.diff(np.append(first, len(context)))
     step = np.diff(context[first], prepend=0)
+    word_step = np.diff(word, prepend=0)
+    word_step[first] = word[first]
     head = pack(step, context_count[first], sizes)
-    return np.array([len(head)], "<i8").tobytes() + head + pack(word, counts)
+    return np.array([len(head)], "<i8").tobytes() + head + pack(word_step, counts)
 
 
 def read_bigrams(data: bytes) -> tuple[np.ndarray, ...]:
     size = int(np.frombuffer(data, "<i8", 1)[0])
     step, total, sizes = unpack(data[8:8 + size])
-    word, counts = unpack(data[8 + size:])
+    word_step, counts = unpack(data[8 + size:])
+    word = np.cumsum(word_step)
+    first = np.cumsum(sizes) - sizes
+    word -= np.repeat(word[first] - word_step[first], sizes)
     return np.repeat(np.cumsum(step), sizes), word, counts, np.repeat(total, sizes)
 
 
@@ -203,8 +217,8 @@ def weigh_bigrams(group: pd.DataFrame, number: int, prior: float, lowest: float)
     rows, start = [], 0
     for chunk, end in zip(group["chunk"], ends.tolist(), strict=True):
         codes, start = trie.codes(context[start:end], word[start:end]), end
-        rows.append((number, chunk, 3, zstandard.ZstdCompressor(level=1).compress(codes.astype("<u2").tobytes()), 0, 0))
-    return pd.DataFrame(rows, columns=["shard", "chunk", "kind", "entries", "n", "v"])
+        rows.append((number, chunk, pack(codes)))
+    return pd.DataFrame(rows, columns=["shard", "chunk", "entries"])
 
 
 def lowest_weight(n: int, prior: float) -> float:
@@ -213,9 +227,8 @@ def lowest_weight(n: int, prior: float) -> float:
 
 
 def bigram_weights(answers: pd.DataFrame, lowest: float) -> np.ndarray:
-    parts = answers.sort_values("shard")["entries"]
-    raw = b"".join(zstandard.ZstdDecompressor().decompressobj().decompress(data) for data in parts)
-    return code_book(lowest)[np.frombuffer(raw, "<u2")]
+    parts = [unpack(data)[0] for data in answers.sort_values("shard")["entries"]]
+    return code_book(lowest)[np.concatenate(parts)]
 
 
 def scored(resolved: Resolved, weights: np.ndarray, n: int, v: int, prior: float) -> pd.DataFrame:
@@ -250,7 +263,7 @@ def language_scores(
 
     NULL and empty texts are one end. Rows with a NULL id and repeated rows are each learned from
     and scored. Without training rows every token is unknown. An empty table gives no rows.
-    Other columns are ignored.
+    Other columns are ignored. Reading the result weighs the bigrams, each time anew.
     """
     spark = docs.sparkSession
     shards = shuffle_shards(spark)
@@ -261,11 +274,16 @@ def language_scores(
         ids, known, held, sizes, tokens, size = [], [], [], [], [], 0
 
         def chunk() -> pd.DataFrame:
+            own = list(words)
+            order, dealt = word_order(own, shards)
+            place = np.empty(len(own), np.uint32)
+            place[order] = np.arange(len(own))
             columns = (np.array(ids, "<i8"), np.array(known, "u1"), np.array(held, "u1"), np.array(sizes, "<i8"))
             return pd.DataFrame({
                 "chunk": [(part << 32) + n],
                 **{k: [c.tobytes()] for k, c in zip(("ids", "known", "held", "sizes"), columns, strict=True)},
-                "tokens": [pack(np.concatenate(tokens))], "words": [pack_words(list(words))],
+                "tokens": [pack(place[np.concatenate(tokens)])], "dealt": [pack(dealt)],
+                "words": [pack_words([own[i] for i in order.tolist()])],
             })
 
         for frame in frames:
@@ -291,18 +309,15 @@ def language_scores(
         for frame in frames:
             for row in frame.itertuples(index=False):
                 c = Chunk(row)
-                order, shard = c.word_entries(shards)
-                counts = np.bincount(c.tokens[c.training()], minlength=c.n_words)[order]
-                words = c.words()
-                rows = []
-                for s, own in cut_by_shard(shard, shards):
-                    head = pack(counts[own])
-                    body = pack_words([words[i] for i in order[own].tolist()])
+                counts = np.bincount(c.tokens[c.training()], minlength=c.n_words)
+                words, rows = unpack_words(row.words, c.n_words), []
+                for s, own in cut_by_shard(np.repeat(np.arange(shards), unpack(row.dealt)[0]), shards):
+                    head, body = pack(counts[own]), pack_words(words[own])
                     rows.append((s, c.number, np.array([len(head)], "<i8").tobytes() + head + body))
                 yield pd.DataFrame(rows, columns=["shard", "chunk", "entries"])
 
     def sum_words(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return add_words(group, int(key[0]), shards)
+        return add_words(group, int(key[0]))
 
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"),
@@ -318,10 +333,13 @@ def language_scores(
     ).first()
     n, v, n_begin = n or 0, v or 0, n_begin or 0
     lowest = lowest_weight(n, prior)
-    counts = words.where("kind = 0").withColumn("v", F.lit(n_begin).cast("bigint"))
+    # a chunk's row, of shard -1, and the answers about its words; both steps below read one exchange of it
+    sent = chunks.select("chunk", *SENT, F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("entries"))
+    counts = words.where("kind = 0").select("chunk", "shard", "entries")
+    known = sent.unionByName(counts, allowMissingColumns=True)
 
-    def ask_bigrams(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        r = Resolved(Chunk(next(left.itertuples(index=False))), right, n, shards)
+    def ask_bigrams(group: pd.DataFrame) -> pd.DataFrame:
+        r = Resolved(group, n, n_begin, shards)
         context, word, total = r.columns
         seen = r.bigram_counts()
         rows = [
@@ -334,14 +352,12 @@ def language_scores(
         return weigh_bigrams(group, int(key[0]), prior, lowest)
 
     def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        r = Resolved(Chunk(next(left.itertuples(index=False))), right[right["kind"] == 0], n, shards)
-        return scored(r, bigram_weights(right[right["kind"] == 3], lowest), n, v, prior)
+        return scored(Resolved(left, n, n_begin, shards), bigram_weights(right, lowest), n, v, prior)
 
-    asked = chunks.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(ask_bigrams, ASKED)
-    bigrams = materialize(asked.groupBy("shard").applyInPandas(weigh, ANSWER), "weights")
-    both = counts.unionByName(bigrams)
+    asked = known.groupBy("chunk").applyInPandas(ask_bigrams, ASKED)
+    weights = asked.groupBy("shard").applyInPandas(weigh, ASKED)
     kind = docs.schema[id_col].dataType.simpleString()
-    found = chunks.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(
+    found = known.groupBy("chunk").cogroup(weights.groupBy("chunk")).applyInPandas(
         finish, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
     return found.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

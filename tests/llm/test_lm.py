@@ -102,6 +102,39 @@ def test_scores_do_not_depend_on_the_session(spark):
     assert found[0] == found[1] and found[0]
 
 
+def test_chunks_are_shuffled_once(spark, capsys):
+    found = lm.language_scores(table(spark, SF, "documents"), F.col("doc_id") % 7 == 2)
+    assert found.count()
+    found.collect()
+    found.explain()
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("+- Exchange hashpartitioning(chunk") == 2  # chunks with their words' counts, weights
+    assert "words#" not in plan
+
+
+@pytest.mark.parametrize("top", [1, 255, 256, 1 << 17, 1 << 24, 1 << 40, (1 << 63) - 1])
+def test_packed_columns(top):
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 20_000):
+        columns = rng.integers(0, top, n), rng.integers(0, 2, n).astype(np.uint16)
+        assert all((a == b).all() for a, b in zip(columns, lm.unpack(lm.pack(*columns)), strict=True))
+    bits = lm.pack(rng.integers(0, top, 200_000))
+    assert len(bits) < 200_000 * (int(top).bit_length() / 8 + 0.1) + 100  # not much beyond the bits there are
+
+
+def test_packed_bigrams():
+    rng = np.random.default_rng(6)
+    pairs = np.unique(rng.integers(0, 300, 9000) * 100_000 + rng.integers(0, 50_000, 9000))
+    context, word = pairs // 100_000 * 977, pairs % 100_000
+    counts, total = rng.integers(0, 9, len(pairs)), context % 1000
+    for own in (slice(None), slice(0, 1), slice(5, 40)):
+        columns = context[own], word[own], counts[own], total[own]
+        data = lm.bigram_entries(*columns)
+        assert all((a == b).all() for a, b in zip(columns, lm.read_bigrams(data), strict=True))
+    assert len(lm.bigram_entries(context, word, counts, total)) < 2.4 * len(pairs)
+
+
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 1), (1, 10**12), (5, 3), (1000, 10**6), (30000, 2**40), (5000, 5001)])
 def test_sequences(n, top):
     rng = np.random.default_rng(n)
